@@ -44,9 +44,10 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: float
     before, after = full.rowsBetween(Window.unboundedPreceding, -1), full.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     every = full.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     level = (F.sum("source_size").over(every) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("w").over(after)
-    leveled = weighed.withColumn("level", level)
-    lowest = F.min(F.when(F.col("level") * F.col("w") <= F.col("cap"), F.col("level"))).over(every)
-    return leveled.select("source", "source_size", F.least(F.col("cap"), F.col("w") * lowest).alias("target"))
+    leveled = weighed.withColumn("level", level).withColumn("at", F.row_number().over(full))
+    # The first source in that order that its level does not cap settles the level of all.
+    settled = F.min(F.when(F.col("level") * F.col("w") <= F.col("cap"), F.struct("at", "level"))).over(every)["level"]
+    return leveled.withColumn("settled", settled).select("source", "source_size", F.least(F.col("cap"), F.col("w") * F.col("settled")).alias("target"))
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -98,7 +99,8 @@ weighed AS (
 leveled AS (
   SELECT *, (sum(source_size) OVER ()::DOUBLE - coalesce(sum(cap) OVER (ORDER BY cap / w, source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
     / sum(w) OVER (ORDER BY cap / w, source ASC NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM weighed),
-aims AS (SELECT name, source_size, least(cap, w * min(CASE WHEN level * w <= cap THEN level END) OVER ()) AS target FROM leveled),
+settled AS (SELECT level AS settled FROM leveled WHERE level * w <= cap ORDER BY cap / w, source ASC NULLS LAST LIMIT 1),
+aims AS (SELECT name, source_size, least(cap, w * settled) AS target FROM leveled, settled),
 ranked AS (
   SELECT c.*, a.source_size, a.target, CASE WHEN a.source_size > 0 THEN a.target / a.source_size ELSE 0 END AS rate,
          ('0x' || substr(md5('{SEED}' || c.name), 1, 12))::BIGINT::DOUBLE / 281474976710656.0::DOUBLE AS off,
