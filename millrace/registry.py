@@ -1,5 +1,7 @@
 """The registry of the engine's own queries and their DuckDB SQL."""
 
-QUERIES = {}
-ORACLES = {}
-FLAGSHIP = ""
+from .plans.queries import ORACLES, QUERIES
+
+FLAGSHIP = "operator_registry"
+
+__all__ = ["FLAGSHIP", "ORACLES", "QUERIES"]
