@@ -64,8 +64,9 @@ def pivots_of(vectors: DataFrame, n: int = PIVOTS, seed: int = SEED, bound: int
     rows = found.column(vec_col).to_pylist()
     lengths = [len(r) for r in rows]
     width = max(set(lengths), key=lengths.count) if lengths else 0
-    x = np.array([r for r in rows if len(r) == width], np.float64).reshape(-1, width)
-    x = np.unique(unit(x), axis=0) if len(x) else x
+    if not width:
+        return np.zeros((0, 0)), np.zeros((0, 0))
+    x = np.unique(unit(np.array([r for r in rows if len(r) == width], np.float64)), axis=0)
     order = np.random.default_rng(seed).permutation(len(x))
     return x[order[:n]], x[order]
 
