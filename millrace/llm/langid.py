@@ -34,6 +34,8 @@ HELD_OUT = 1
 TRAIN_DOCS = 1200
 WINDOWS_PER_DOC = 3
 TRAIN_WINDOW = 64
+#: Languages learned at most, the most common ones.
+MAX_LANGS = 1024
 STEPS = 320
 BATCH = 256
 UNDETERMINED = "und"
@@ -228,10 +230,15 @@ def pooled(net: Network, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def sample(docs: DataFrame, per_lang: int = TRAIN_DOCS, per_doc: int = WINDOWS_PER_DOC, width: int = TRAIN_WINDOW) -> list[tuple[str, bytes]]:
     """Training windows: spread over each of the first ``per_lang`` documents of a language by hash order, outside the held-out fold."""
-    rows = docs.select("doc_id", "lang", F.col("text").cast("binary").alias("b")).filter("lang is not null and b is not null and octet_length(b) > 0").filter(doc_fold(F.col("doc_id"), FOLDS) != HELD_OUT)
+    usable = docs.filter("lang is not null").filter(doc_fold(F.col("doc_id"), FOLDS) != HELD_OUT)
+    # Counts by language, of narrow columns, give the hash range that holds some more rows than are wanted.
+    counts = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(MAX_LANGS)
+    share = F.broadcast(counts.select("lang", (4.0 * per_lang / F.col("n") * (1 << 30)).alias("most")))  # at most MAX_LANGS rows
+    rows = usable.filter("text <> ''").select("doc_id", "lang", F.col("text").cast("binary").alias("b"), F.xxhash64("doc_id", F.lit(SEED)).alias("h"))
+    rows = rows.join(share, "lang").filter(F.pmod("h", F.lit(1 << 30)) <= F.col("most"))
     spread = [F.expr(f"substring(b, cast(greatest(octet_length(b) - {width}, 0) * {i / max(per_doc - 1, 1)} as int) + 1, {width})") for i in range(per_doc)]
-    cut_down = rows.select("lang", F.xxhash64("doc_id", F.lit(SEED)).alias("h"), "doc_id", F.array(*spread).alias("w"))
-    ranked = cut_down.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).filter(F.col("n") <= per_lang)
+    cut_down = rows.select("lang", F.pmod("h", F.lit(1 << 30)).alias("h"), "doc_id", F.array(*spread).alias("w"))
+    ranked = cut_down.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id", "w"))).filter(F.col("n") <= per_lang)
     found = ranked.orderBy("lang", "n").select("lang", "w").toArrow()
     return [(lang, w) for lang, ws in zip(found.column("lang").to_pylist(), found.column("w").to_pylist()) for w in dict.fromkeys(ws) if w]
 
