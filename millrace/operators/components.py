@@ -15,7 +15,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     self loops are ignored; no edges give no rows. Each round is checkpointed, so a
     lost executor costs one round; only a row count and a hash reach the driver.
     """
-    pairs = edges.select(F.least(src, dst).alias("a"), F.greatest(src, dst).alias("b")).filter("a is not null and b is not null and a <> b and a = a").distinct()
+    real = edges.filter(F.col(src).isNotNull() & F.col(dst).isNotNull() & (F.col(src) != F.col(dst)))
+    pairs = real.select(F.least(src, dst).alias("a"), F.greatest(src, dst).alias("b")).distinct()
     pairs = cut(pairs)
     seen = None
     for _ in range(max_rounds):

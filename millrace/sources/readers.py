@@ -88,6 +88,23 @@ def brand_file(raw: DataFrame, aliases: list[str]) -> DataFrame:
     return raw.join(F.broadcast(first), "file")  # one row
 
 
+def read_captured(spark: SparkSession, path: str) -> DataFrame:
+    """entity_number (from the file name), text of captured pages, one file each."""
+    return spark.read.text(path, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(?:\.[^.]*)?$", 1).alias("entity_number"), F.col("value").alias("text"))
+
+
+def read_items(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Landed search results, one JSON item a line; broken lines give no row."""
+    return spark.read.json(path, schema=schema, mode="DROPMALFORMED")
+
+
+def settings(lines: DataFrame, value: str = "value") -> DataFrame:
+    """key, value of ``K=V`` lines; comments and other lines go, quotes around values too."""
+    p = r"^\s*([A-Za-z_][A-Za-z0-9_]*)\s*=\s*(.*?)\s*$"
+    good = lines.filter(F.col(value).rlike(p))
+    return good.select(F.regexp_extract(value, p, 1).alias("key"), F.regexp_replace(F.regexp_extract(value, p, 2), "^[\"']|[\"']$", "").alias("value"))
+
+
 def stale(files: DataFrame, days: int, today: str) -> DataFrame:
     """Files (path, modificationTime) older than some days; the day is a parameter."""
     return files.filter(F.datediff(F.lit(today).cast("date"), F.to_date("modificationTime")) > days)
