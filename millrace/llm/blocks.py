@@ -19,17 +19,22 @@ from pyspark.sql import functions as F
 BLOCK = 2048
 
 
-def units(posts: DataFrame, key: list[str], row_hash: Column, block: int = BLOCK) -> DataFrame:
-    """posts, repeated into units: columns plus ``unit_`` (hash of the unit), ``i_``, ``j_`` (its chunks) and ``mine_`` (the row's chunk)."""
-    sizes = posts.groupBy(*key).agg(F.count("*").alias("rows_")).filter("rows_ > 1").withColumn("chunks_", F.ceil(F.col("rows_") / block).cast("int"))
-    dealt = posts.join(sizes.drop("rows_"), key).withColumn("mine_", F.pmod(row_hash, F.col("chunks_")).cast("int"))
+def units(posts: DataFrame, key: list[str], row_hash: Column, block: int = BLOCK, weight: Column | None = None, weight_most: int = 1) -> DataFrame:
+    """posts, repeated into units: columns plus ``unit_`` (hash of the unit), ``i_``, ``j_`` (its chunks) and ``mine_`` (the row's chunk).
+
+    With a weight, a list is dealt into so many chunks that each has about ``weight_most`` at most.
+    """
+    chunks = F.col("rows_") / block if weight is None else F.greatest(F.col("rows_") / block, F.col("weight_") / weight_most)
+    more = [] if weight is None else [F.sum(weight).alias("weight_")]
+    sizes = posts.groupBy(*key).agg(F.count("*").alias("rows_"), *more).filter("rows_ > 1").withColumn("chunks_", F.ceil(chunks).cast("int")).select(*key, "chunks_")
+    dealt = posts.join(sizes, key).withColumn("mine_", F.pmod(row_hash, F.col("chunks_")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("chunks_") - 1))
     out = dealt.withColumn("other_", other).withColumn("i_", F.least("mine_", "other_")).withColumn("j_", F.greatest("mine_", "other_")).drop("other_", "chunks_")
     return out.withColumn("unit_", F.xxhash64(*key, "i_", "j_"))
 
 
-def by_unit(dealt: DataFrame, work: Callable[[dict[str, np.ndarray]], Iterator[pa.RecordBatch] | None], schema: str, columns: list[str], key: list[str]) -> DataFrame:
-    """Run ``work`` over whole units: it gets the rows of several complete units, sorted, with ``group_`` numbering them."""
+def by_unit(dealt: DataFrame, work: Callable[[dict[str, np.ndarray]], Iterator[pa.RecordBatch] | None], schema: str, columns: list[str], key: list[str], most_bytes: int = 1 << 62) -> DataFrame:
+    """Run ``work`` over whole units: it gets the rows of several complete units, sorted, with ``group_`` numbering them; rows are gathered up to 4,096 or about ``most_bytes``, or to the end of a unit."""
     names = [*key, "i_", "j_", "mine_", *columns]
     ordered = dealt.select("unit_", *names).repartition("unit_").sortWithinPartitions("unit_", *key, "i_", "j_")
 
@@ -40,6 +45,7 @@ def by_unit(dealt: DataFrame, work: Callable[[dict[str, np.ndarray]], Iterator[p
 
     def run(batches):
         held: list[dict[str, np.ndarray]] = []
+        n_bytes = 0
 
         def emit(parts, last: bool):
             rows = {n: np.concatenate([p[n] for p in parts]) for n in names}
@@ -58,10 +64,11 @@ def by_unit(dealt: DataFrame, work: Callable[[dict[str, np.ndarray]], Iterator[p
             if not batch.num_rows:
                 continue
             held.append({n: column(batch.column(batch.schema.get_field_index(n))) for n in names})
-            if sum(len(h["i_"]) for h in held) < 4096:
+            n_bytes += batch.nbytes
+            if sum(len(h["i_"]) for h in held) < 4096 and n_bytes < most_bytes:
                 continue
             done, keep = emit(held, False)
-            held = [keep] if len(keep["i_"]) else []
+            held, n_bytes = ([keep] if len(keep["i_"]) else []), 0
             if len(done["i_"]):
                 yield from work(done) or ()
         if held:
