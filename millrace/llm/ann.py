@@ -31,6 +31,8 @@ PIVOTS = 512
 NEAREST = 64
 #: Share of rows that lie within the footrule threshold of a typical query.
 KEEP = 0.15
+#: No two pivots have this cosine or more, so a dense group has few of them and does not fill its rows' lists with pivots whose order is noise.
+PIVOT_COSINE = 0.8
 SEED = 9
 #: Bounds: rows of a shard, queries of a block, rows of the sample that fits the index.
 SHARD = 8192
@@ -59,7 +61,7 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 
 def pivots_of(vectors: DataFrame, n: int = PIVOTS, seed: int = SEED, bound: int = SAMPLE, id_col: str = "vec_id", vec_col: str = "embedding") -> tuple[np.ndarray, np.ndarray]:
-    """Pivots and the sample they come from: the first distinct vectors by hash order, of the most common length."""
+    """Pivots and the sample they come from: the first distinct vectors by hash order, of the most common length; pivots are thinned."""
     found = vectors.select(F.xxhash64(vec_col, F.lit(seed)).alias("h"), vec_col).orderBy("h").limit(bound).toArrow()
     rows = found.column(vec_col).to_pylist()
     lengths = [len(r) for r in rows]
@@ -68,7 +70,17 @@ def pivots_of(vectors: DataFrame, n: int = PIVOTS, seed: int = SEED, bound: int
         return np.zeros((0, 0)), np.zeros((0, 0))
     x = np.unique(unit(np.array([r for r in rows if len(r) == width], np.float64)), axis=0)
     order = np.random.default_rng(seed).permutation(len(x))
-    return x[order[:n]], x[order]
+    return thinned(x[order], n), x[order]
+
+
+def thinned(x: np.ndarray, n: int, cosine: float = PIVOT_COSINE) -> np.ndarray:
+    """The first n unit vectors, leaving out those with ``cosine`` or more to one before."""
+    kept, free = [], np.ones(len(x), bool)
+    while len(kept) < n and free.any():
+        kept.append(int(free.argmax()))
+        free &= x @ x[kept[-1]] < cosine
+        free[kept[-1]] = False
+    return x[kept]
 
 
 def orders(x: np.ndarray, pivots: np.ndarray, nearest: int = NEAREST) -> np.ndarray:

@@ -7,7 +7,8 @@ double precision, each pair in the list of its smallest shared pivot only. A blo
 each vector's number of links (weighted by how many equal vectors each stands for) and
 a spanning forest, never pairs, so a dense group costs rows in proportion to its size.
 
-The pivots come from a bounded sample (ann.SAMPLE rows); every vector is indexed.
+The pivots come from a bounded sample (ann.SAMPLE rows) and no two are near each other, so
+a dense group does not draw many; every vector is indexed.
 
 Defined results: vectors that are null, zero, of another length than the pivots or hold
 null or non-finite components, and rows without label or id, link with nothing and are

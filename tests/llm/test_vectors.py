@@ -77,3 +77,21 @@ def test_footrule():
     order = np.array([[0, 1, 2], [2, 1, 0], [3, 4, 5]])
     index = ann.Inverted(order, 6)
     assert index.footrule(np.array([0, 1, 2])).tolist() == [0, 4, 12]
+
+
+def with_hot_group(n, noise, seed=11, dim=64):
+    """n vectors, a third of them near copies of one (noise relative to its length)."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, dim))
+    hot = np.arange(n) % 3 == 0
+    x[hot] = x[0] + rng.normal(size=(int(hot.sum()), dim)) * noise
+    return x.astype(np.float32), hot
+
+
+def test_links_of_a_hot_near_copy_group(spark):
+    x, _ = with_hot_group(3000, 0.15)
+    y = x.astype(np.float64)
+    u = y / np.sqrt((y * y).sum(axis=1, keepdims=True))
+    true = int((u @ u.T >= 0.93).sum()) - len(x)
+    found = sum(r["n_links"] for r in vectors.near_duplicates(frame(spark, x, np.zeros(len(x), int))).collect())
+    assert 0.99 * true <= found <= true
