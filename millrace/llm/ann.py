@@ -5,13 +5,13 @@ described by its NEAREST pivots in order. Rows are dealt by hash into shards of
 size; each shard posts its rows in pivot inverted files. A query walks the lists of its
 own pivots and adds up how much of the footrule distance each posting saves; rows are
 ranked by footrule distance and those within the threshold are reranked by exact cosine
-in double precision. The threshold is the KEEP quantile of the footrule distance between
-a bounded sample of rows and of queries, so it does not cap what a query may see: every
-row within it is verified. A query that gets fewer than ``k`` rows from a whole shard is
-held against all its rows, so short results are always complete.
+in double precision. The threshold is the KEEP quantile of the query's own footrule
+distances to the rows of the shard, so a dense group of rows does not lower it for queries
+outside; every row within it, ties included, is verified. A query that gets fewer than ``k``
+rows from a whole shard is held against all its rows, so short results are always complete.
 
-Queries meet each shard in blocks of bounded size; nothing is broadcast but the pivots
-and a threshold. The nearest of each block are merged by rank.
+Queries meet each shard in blocks of bounded size; nothing is broadcast but the pivots.
+The nearest of each block are merged by rank.
 
 Defined results: vectors that are null, zero, of another length than the pivots or hold
 null or non-finite components take no part; ties go to the smaller vec_id; rows with the
@@ -29,7 +29,7 @@ from ..session import cut
 
 PIVOTS = 512
 NEAREST = 64
-#: Share of rows that lie within the footrule threshold of a typical query.
+#: Share of a shard's rows that lie within the footrule threshold of each query.
 KEEP = 0.15
 #: No two pivots have this cosine or more, so a dense group has few of them and does not fill its rows' lists with pivots whose order is noise.
 PIVOT_COSINE = 0.8
@@ -113,14 +113,10 @@ class Inverted:
         return out
 
 
-def threshold_of(sample: np.ndarray, pivots: np.ndarray, keep: float = KEEP, nearest: int = NEAREST) -> int:
-    """Footrule distance within which the share ``keep`` of random pairs of the sample lies."""
-    if len(sample) < 2:
-        return 1 << 30
-    order = orders(sample, pivots, nearest)
-    index = Inverted(order, len(pivots))
-    some = np.concatenate([np.delete(index.footrule(order[i]), i) for i in range(min(64, len(sample)))])
-    return int(np.quantile(some, keep))
+def within(distance: np.ndarray, keep: float = KEEP) -> np.ndarray:
+    """Which rows are among the share ``keep`` of smallest distances, ties included."""
+    at = max(1, int(np.ceil(keep * len(distance)))) - 1
+    return distance <= np.partition(distance, at)[at]
 
 
 def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 5, pivots: int = PIVOTS, nearest: int = NEAREST, keep: float = KEEP, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -129,8 +125,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 5, pivot
     rows = cut(usable(vectors, id_col, vec_col).select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v")).dropDuplicates(["id", "v"]))
     asked = cut(usable(queries, id_col, vec_col).select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v")).dropDuplicates(["id"]))
     n, n_asked = rows.count(), asked.count()
-    points, sample = pivots_of(rows, pivots, id_col="id", vec_col="v")
-    limit = threshold_of(sample, points, keep, nearest)
+    points, _ = pivots_of(rows, pivots, id_col="id", vec_col="v")
     width = points.shape[1] if len(points) else 0
     shards, blocks = max(1, -(-n // SHARD)), max(1, -(-n_asked // QUERY_BLOCK))
     left = rows.filter(F.size("v") == width).withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
@@ -149,7 +144,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 5, pivot
         q_orders = orders(uq, points, nearest)
         out: list[tuple[np.ndarray, ...]] = []
         for i, ask in enumerate(asks.tolist()):
-            ranked = np.flatnonzero((index.footrule(q_orders[i]) <= limit) & (ids != ask))
+            ranked = np.flatnonzero(within(index.footrule(q_orders[i]), keep) & (ids != ask))
             if len(ranked) < k:
                 ranked = np.flatnonzero(ids != ask)
             score = (ux[ranked] * uq[i]).sum(axis=1)

@@ -95,3 +95,19 @@ def test_links_of_a_hot_near_copy_group(spark):
     true = int((u @ u.T >= 0.93).sum()) - len(x)
     found = sum(r["n_links"] for r in vectors.near_duplicates(frame(spark, x, np.zeros(len(x), int))).collect())
     assert 0.99 * true <= found <= true
+
+
+def test_recall_outside_a_hot_group(spark):
+    x, hot = with_hot_group(8000, 0.3)
+    df = frame(spark, x, np.zeros(len(x), int))
+    got = ann.nearest_neighbours(df, df.filter("vec_id % 50 = 1")).collect()
+    y = x.astype(np.float64)
+    u = y / np.sqrt((y * y).sum(axis=1, keepdims=True))
+    hits = {True: [], False: []}
+    for q in range(1, len(x), 50):
+        s = u @ u[q]
+        s[q] = -2
+        mine = {r["vec_id"] for r in got if r["query_id"] == q}
+        hits[bool(hot[q])].append(len(set(np.argsort(-s)[:5].tolist()) & mine) / 5)
+    assert len(hits[True]) > 40 and len(hits[False]) > 90
+    assert np.mean(hits[False]) >= 0.9 and np.mean(hits[True]) >= 0.9, (np.mean(hits[False]), np.mean(hits[True]))
