@@ -548,7 +548,7 @@ def j_enriched_florida(spark, d):
 @query()
 def j_fuzzy_fallback(spark, d):
     """Variants first, then records with the same first token."""
-    few = registry_rows(spark, d).filter("rid % 2 = 0").select("firm").distinct()
+    few = registry_rows(spark, d).select("firm").distinct()
     return lookup.fuzzy_fallback(locations(spark, d).groupBy(c(_n).alias("entity_name")).agg(F.min("ord").alias("ord")), few, "firm")
 
 
