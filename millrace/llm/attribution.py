@@ -8,8 +8,8 @@ bytes, and for the earlier one if two hold as many; tokens that no span touches
 counted as section -1. Sections are lines, each with its line break, unless ``spans``
 names a column of array<struct<start,end>> in code points, sorted and not overlapping.
 
-Defined results: null or empty text has one empty section with no token; null ids and
-repeated rows get their own rows; an empty table gives no rows; other columns are not read.
+Defined results: null or empty text has one empty section with no token; bytes that are no
+UTF-8 count as replacement characters; null ids and repeated rows get their own rows; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -94,8 +94,9 @@ def token_counts(docs: DataFrame, spans: str | None = None, path: str | None = N
             given = batch.column(2).to_pylist() if spans else [None] * batch.num_rows
             which, columns = [], [[] for _ in range(6)]
             for row, (text, own) in enumerate(zip(text_bytes(batch.column(1)), given)):
-                text = text or b""
-                ends = enc.ends(text.decode("utf-8", "replace")) if text else np.zeros(0, np.int64)
+                shown = (text or b"").decode("utf-8", "replace")
+                text = shown.encode()  # bytes that are no UTF-8 count as replacement characters
+                ends = enc.ends(shown) if text else np.zeros(0, np.int64)
                 bounds = char_to_byte(text)
                 if spans:
                     own = [s for s in own or [] if s and s["start"] is not None and s["end"] is not None]

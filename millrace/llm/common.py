@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 #: ASCII white space; words are maximal runs of anything else.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Rows in an Arrow batch: long texts make a batch of the default 10,000 rows too large.
+#: Rows and bytes of an Arrow batch: long texts make a batch of the default 10,000 rows too large.
 BATCH_ROWS = 512
+BATCH_BYTES = 32 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,8 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound what one Arrow batch of whole texts can hold."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """Bound what one Arrow batch of whole texts can hold. The settings are the session's and stay; smaller ones are left alone."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        if not 0 < int(spark.conf.get(key).rstrip("b")) <= most:
+            spark.conf.set(key, str(most))
 
 
 def text_bytes(col: pa.Array) -> list[bytes | None]:
@@ -53,3 +57,14 @@ def per_process(name: str, make):
 def doc_fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo folds; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
+
+
+def row_hash(docs: DataFrame, leave: tuple[str, ...] = ()) -> Column:
+    """Hash of a row's columns other than ``leave``; columns with maps, which Spark cannot hash, count as their text."""
+    cols = [F.to_json(F.struct(docs[f.name])) if "map<" in f.dataType.simpleString() else docs[f.name] for f in docs.schema if f.name not in leave]
+    return F.xxhash64(*cols, F.lit(0))
+
+
+def whole(docs: DataFrame) -> Column:
+    """All columns of docs as one struct, so that working columns beside it clash with none."""
+    return F.struct(*(docs[c] for c in docs.columns))

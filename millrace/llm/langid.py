@@ -6,8 +6,10 @@ A document's probabilities are the mean over all its positions, in windows of WI
 bytes that cover the whole text. The activation is a / (1 + |a|), and half of one plus
 that for gates: an order cheaper than tanh and exp, with exact gradients.
 
-The network is trained in numpy by backpropagation through time on a bounded sample:
-TRAIN_DOCS documents per language by hash order, WINDOWS_PER_DOC windows each.
+The network is trained in numpy by backpropagation through time on a bounded sample: by
+hash order TRAIN_DOCS documents per language, fewer where MOST_DOCS for all languages are
+not enough for that, but one at least; WINDOWS_PER_DOC windows each. Every language of the
+training rows is learned, whatever their number.
 
 Defined results: null text, or text without a letter, is ``und`` with score 0; rows
 without language are not learned from; with no labelled row at all every text is
@@ -23,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut
 from .common import doc_fold, small_batches, text_bytes
 
 HIDDEN = 8
@@ -32,14 +35,15 @@ FOLDS = 3
 HELD_OUT = 1
 #: Bounds of the training sample.
 TRAIN_DOCS = 1200
+MOST_DOCS = 240_000
+#: Counts of up to so many languages are broadcast; more are joined by a shuffle, of the windows only.
+BROADCAST_LANGS = 100_000
 WINDOWS_PER_DOC = 3
 TRAIN_WINDOW = 64
-#: Languages learned at most, the most common ones.
-MAX_LANGS = 1024
 STEPS = 320
 BATCH = 256
 UNDETERMINED = "und"
-#: Windows run side by side.
+#: Windows run side by side with up to 16 languages; fewer with more, so that their probabilities take the same room.
 SIDE = 2048
 
 _ASCII_LETTER = re.compile(rb"[A-Za-z]")
@@ -171,7 +175,9 @@ class Network:
         by_lang = [rows for rows in by_lang if len(rows)]
         losses: list[float] = []
         for step in range(1, steps + 1):
-            rows = np.concatenate([rng.choice(r, batch // len(by_lang) + 1) for r in by_lang])
+            # More languages than a batch holds take turns.
+            turn = by_lang if len(by_lang) <= batch else [by_lang[k] for k in rng.choice(len(by_lang), batch, replace=False)]
+            rows = np.concatenate([rng.choice(r, batch // len(turn) + 1) for r in turn])
             xb = np.ascontiguousarray(x[rows].T)
             mask = (np.arange(xb.shape[0])[:, None] < lengths[rows][None, :]).astype(np.float32)
             loss, g = self.gradient(xb, y[rows], mask)
@@ -212,38 +218,43 @@ def position_labels(net: Network, text: bytes) -> np.ndarray:
 def pooled(net: Network, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Sum of position probabilities, and positions by label, for each text (rows) and language."""
     x, lengths, first = windows(texts)
-    k = len(net.langs)
-    prob, label = np.zeros((len(x), k)), np.zeros((len(x), k))
-    for at in range(0, len(x), SIDE):
-        part = np.ascontiguousarray(x[at : at + SIDE].T).astype(np.intp)
+    k, side = len(net.langs), max(1, SIDE * 16 // max(len(net.langs), 16))
+    home = np.repeat(np.arange(len(texts)), np.diff(first))
+    prob, label = np.zeros((len(texts), k)), np.zeros((len(texts), k))
+    for at in range(0, len(x), side):
+        part = np.ascontiguousarray(x[at : at + side].T).astype(np.intp)
         p = net.probabilities(part)
-        full = lengths[at : at + SIDE]
+        full = lengths[at : at + side]
         if (full < WINDOW).any():
             p *= np.arange(part.shape[0])[:, None] < full[None, :]
         best = p.max(axis=0)
+        # The windows of a text lie together: their sums are added to its row.
+        own = home[at : at + side]
+        starts = np.flatnonzero(np.diff(own, prepend=-1))
         for i in range(k):
-            prob[at : at + SIDE, i] = p[i].sum(axis=0)
-            label[at : at + SIDE, i] = ((p[i] == best) & (best > 0)).sum(axis=0)
-    sums = [np.vstack([np.zeros((1, k)), np.cumsum(a, axis=0)]) for a in (prob, label)]
-    return tuple(s[first[1:]] - s[first[:-1]] for s in sums)
+            prob[own[starts], i] += np.add.reduceat(p[i].sum(axis=0), starts)
+            label[own[starts], i] += np.add.reduceat(((p[i] == best) & (best > 0)).sum(axis=0), starts)
+    return prob, label
 
 
-def sample(docs: DataFrame, per_lang: int = TRAIN_DOCS, per_doc: int = WINDOWS_PER_DOC, width: int = TRAIN_WINDOW) -> list[tuple[str, bytes]]:
-    """Training windows: spread over each of the first ``per_lang`` documents of a language by hash order, outside the held-out fold."""
+def sample(docs: DataFrame, per_lang: int = TRAIN_DOCS, per_doc: int = WINDOWS_PER_DOC, width: int = TRAIN_WINDOW, most: int = MOST_DOCS) -> list[tuple[str, bytes]]:
+    """Training windows: spread over each of the first ``per_lang`` documents of a language by hash order, outside the held-out fold; at most about ``most`` documents in all, one of each language at least."""
     usable = docs.filter("lang is not null").filter(doc_fold(F.col("doc_id"), FOLDS) != HELD_OUT)
     # Counts by language, of narrow columns, give the hash range that holds some more rows than are wanted.
-    counts = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(MAX_LANGS)
-    share = F.broadcast(counts.select("lang", (4.0 * per_lang / F.col("n") * (1 << 30)).alias("most")))  # at most MAX_LANGS rows
-    rows = usable.filter("text <> ''").select("doc_id", "lang", F.col("text").cast("binary").alias("b"), F.xxhash64("doc_id", F.lit(SEED)).alias("h"))
-    rows = rows.join(share, "lang").filter(F.pmod("h", F.lit(1 << 30)) <= F.col("most"))
+    counts = cut(usable.groupBy("lang").agg(F.count("*").alias("n")))
+    langs = counts.count()
+    per_lang = max(1, min(per_lang, most // max(langs, 1)))
+    share = counts.select("lang", (4.0 * max(per_lang, 32) / F.col("n") * (1 << 30)).alias("most"))
+    share = F.broadcast(share) if langs <= BROADCAST_LANGS else share
     spread = [F.expr(f"substring(b, cast(greatest(octet_length(b) - {width}, 0) * {i / max(per_doc - 1, 1)} as int) + 1, {width})") for i in range(per_doc)]
-    cut_down = rows.select("lang", F.pmod("h", F.lit(1 << 30)).alias("h"), "doc_id", F.array(*spread).alias("w"))
+    rows = usable.filter("text <> ''").select("doc_id", "lang", F.col("text").cast("binary").alias("b"), F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 30)).alias("h"))
+    cut_down = rows.select("lang", "h", "doc_id", F.array(*spread).alias("w")).join(share, "lang").filter(F.col("h") <= F.col("most"))
     ranked = cut_down.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id", "w"))).filter(F.col("n") <= per_lang)
     found = ranked.orderBy("lang", "n").select("lang", "w").toArrow()
     return [(lang, w) for lang, ws in zip(found.column("lang").to_pylist(), found.column("w").to_pylist()) for w in dict.fromkeys(ws) if w]
 
 
-def fit(docs: DataFrame) -> Network | None:
+def fit(docs: DataFrame, steps: int = STEPS) -> Network | None:
     """A network trained on the sample of docs; None if nothing is labelled."""
     rows = sample(docs)
     if not rows:
@@ -254,7 +265,7 @@ def fit(docs: DataFrame) -> Network | None:
     for i, (_, w) in enumerate(rows):
         x[i, : len(w)] = np.frombuffer(w, np.uint8)
     number = {lang: k for k, lang in enumerate(langs)}
-    net.train(x, np.array([number[lang] for lang, _ in rows]), np.array([len(w) for _, w in rows]))
+    net.train(x, np.array([number[lang] for lang, _ in rows]), np.array([len(w) for _, w in rows]), steps)
     return net
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut
-from .common import WORD
+from .common import WORD, row_hash, whole
 
 WEIGHTS = (1, 2, 3)
 MOST = 3
@@ -50,40 +50,47 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: float
     return leveled.withColumn("settled", settled).select("source", "source_size", F.least(F.col("cap"), F.col("w") * F.col("settled")).alias("target"))
 
 
+def _hash() -> Column:
+    """The place of a document within its size class."""
+    return F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce("text", F.lit("")).cast("binary"))).cast("binary"))
+
+
+def _key(docs: DataFrame) -> Column:
+    """A key that only equal rows share."""
+    return F.md5(F.concat(_hash(), F.col("text").isNull().cast("string"), F.hex(row_hash(docs, ("text",)))).cast("binary"))
+
+
 def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size, and the order of sampling: size class (leading bits of the size), then hash."""
+    """doc_id, source, size, key, and the order of sampling: size class (leading bits of the size), then hash."""
     bits = F.bin(F.col("size") + 1)
-    return docs.select("doc_id", "source", words(F.col("text")).alias("size"), F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce("text", F.lit("")).cast("binary"))).cast("binary")).alias("h")).withColumn("size_class", F.concat(F.lpad(F.length(bits).cast("string"), 2, "0"), F.substring(bits, 1, 4)))
+    return docs.select("doc_id", "source", words(F.col("text")).alias("size"), _hash().alias("h"), _key(docs).alias("key")).withColumn("size_class", F.concat(F.lpad(F.length(bits).cast("string"), 2, "0"), F.substring(bits, 1, 4)))
 
 
 def systematic_copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: float = MOST, seed: str = SEED) -> DataFrame:
-    """doc_id, source, h, size, source_size, target, copies for every row of docs."""
+    """doc_id, source, key, size, source_size, target, copies for every row of docs."""
     slim = cut(sized(docs).withColumn("cell", F.substring("h", 1, CELL_DIGITS)).withColumn("name", F.when(F.col("source").isNull(), F.lit("-")).otherwise(F.concat(F.lit("="), "source"))))
     cells = slim.groupBy("name", "size_class", "cell").agg(F.first("source", ignorenulls=True).alias("source"), F.count("*").alias("n"), F.sum("size").alias("words"))
     aims = targets(cells.groupBy("name").agg(F.first("source", ignorenulls=True).alias("source"), F.sum("words").alias("source_size")).drop("name"), weights, most)
     aims = aims.withColumn("name", F.when(F.col("source").isNull(), F.lit("-")).otherwise(F.concat(F.lit("="), "source"))).drop("source")
     before = cells.select("name", "size_class", "cell", F.coalesce(F.sum("n").over(Window.partitionBy("name").orderBy("size_class", "cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     before = before.join(aims, "name")
-    ranked = slim.withColumn("rank", F.row_number().over(Window.partitionBy("name", "size_class", "cell").orderBy("h", "doc_id")))
+    ranked = slim.withColumn("rank", F.row_number().over(Window.partitionBy("name", "size_class", "cell").orderBy("h", "doc_id", "key")))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed), "name").cast("binary")), 1, 12), 16, 10).cast("double") / float(1 << 48)
     passed = F.floor(F.col("offset") + F.col("rate") * F.col("r")) - F.floor(F.col("offset") + F.col("rate") * (F.col("r") - 1))
     out = ranked.join(before, ["name", "size_class", "cell"]).withColumn("r", F.col("before") + F.col("rank")).withColumn("rate", rate).withColumn("offset", offset)
-    return out.select("doc_id", "source", "h", "size", "source_size", "target", F.least(passed, F.lit(int(most))).cast("long").alias("copies"))
+    return out.select("doc_id", "source", "key", "size", "source_size", "target", F.least(passed, F.lit(int(most))).cast("long").alias("copies"))
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: float = MOST, seed: str = SEED) -> DataFrame:
-    """The mixed table: every column of docs, each row as often as the mix takes it.
+    """The mixed table: every column of docs as it was, each row as often as the mix takes it.
 
-    Equal rows (id, text and source alike) share the sum of their copies. The texts are
-    shuffled once, by a key of the whole row; the copies meet them there.
+    Rows equal in every column share the sum of their copies; they meet before the shuffle. The
+    texts are shuffled once, by a key of the whole row; the copies meet them there.
     """
-    name = lambda c: F.when(c.isNull(), F.lit("-")).otherwise(F.concat(F.lit("="), c))
-    taken = systematic_copies(docs, weights, most, seed).filter("copies > 0").groupBy(F.md5(F.concat("h", name(F.col("source"))).cast("binary")).alias("k_")).agg(F.sum("copies").alias("copies_"))
-    h = F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce("text", F.lit("")).cast("binary"))).cast("binary"))
-    keyed = docs.withColumn("k_", F.md5(F.concat(h, name(F.col("source"))).cast("binary"))).repartition("k_")
-    once = keyed.withColumn("n_", F.row_number().over(Window.partitionBy("k_").orderBy("k_"))).filter("n_ = 1")
-    return once.join(taken, "k_").withColumn("copy_", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies_")))).select(*docs.columns)
+    taken = systematic_copies(docs, weights, most, seed).filter("copies > 0").groupBy("key").agg(F.sum("copies").alias("copies"))
+    once = docs.select(_key(docs).alias("key"), whole(docs).alias("row")).groupBy("key").agg(F.first("row").alias("row"))
+    return once.join(taken, "key").select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
 
 
 ORACLE = f"""

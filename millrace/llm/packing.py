@@ -5,10 +5,11 @@ are cut. The lengths' histogram, at most ``capacity`` rows whatever the input, i
 that reaches the driver. There a plan is made on counts: for each length, longest
 first, an index of single, pair and triple sums yields combinations that fill the gap
 exactly, each consumed as often as the counts allow; what remains goes best-fit. A
-piece's rank within its length (two-level prefix counts, no task holds a whole length)
-then picks its place in the plan.
+piece's rank within its length (two-level prefix counts: a length is dealt into cells in
+proportion to its pieces, so no task holds a whole length) then picks its place in the plan.
 
-Defined results: null or empty text is the closing id alone; null ids, repeated rows
+Defined results: null or empty text is the closing id alone; bytes that are no UTF-8 count as
+replacement characters; ids of any type, null ids, repeated rows
 and ties are packed like any row; an empty table gives no rows; other columns are not
 read. The plan depends on the counts only, so reruns agree.
 """
@@ -29,10 +30,10 @@ from .common import per_process, small_batches, text_bytes
 CAPACITY = 2048
 #: Chunks kept by a worker; rarer ones are encoded again.
 CACHE_ROWS = 900_000
-#: Ranks within one length are counted in this many cells.
-CELLS = 64
+#: Pieces of one length are ranked in cells of about so many.
+CELL_ROWS = 32_768
 
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+PIECES = "piece int, start long, length long, ids_crc32 long"
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -72,7 +73,7 @@ class ChunkIds(dict):
                 if len(self.words) < CACHE_ROWS:
                     self.words[low] = found
             return found
-        text = word.decode()
+        text = word.decode("utf-8", "replace")
         if not text.isalpha() or "Σ" in text or "İ" in text or not unicodedata.is_normalized("NFC", text):
             return None
         low = text.lower().encode()
@@ -87,7 +88,7 @@ class ChunkIds(dict):
         mark = self.marks.get(chunk[-1:])
         ids = self._word(chunk[:-1]) if mark and len(chunk) > 1 else self._word(chunk)
         if ids is None:
-            ids = self._encode(chunk.decode())
+            ids = self._encode(chunk.decode("utf-8", "replace"))
         elif mark:
             ids += mark
         if len(self) < CACHE_ROWS and len(chunk) <= 64:
@@ -105,15 +106,18 @@ def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
         get, end, wide = ids_of.__getitem__, b"\0\0\0\0", 4 * capacity
         for batch in batches:
             rows: list[tuple] = []
-            for doc, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
+            for doc, text in enumerate(text_bytes(batch.column(1))):
                 ids = b"".join(map(get, (text or b"").split())) + end
                 for k, at in enumerate(range(0, len(ids), wide)):
                     part = ids[at : at + wide]
                     rows.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part)))
             cols = list(zip(*rows)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))], ["doc_id", "piece", "start", "length", "ids_crc32"])
+            types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+            which, *cols = (pa.array(c, t) for c, t in zip(cols, types))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(which), *cols], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, PIECES)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {PIECES}")
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
@@ -229,10 +233,13 @@ def segments(patterns: list[tuple[tuple[int, ...], int]]) -> np.ndarray:
 
 def best_fit_packing(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """Pieces with their place: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    pieces = cut(token_pieces(docs, path, capacity).withColumn("cell", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(CELLS)).cast("int")))
-    cells = pieces.groupBy("length", "cell").agg(F.count("*").alias("n"))
-    counts = {r["length"]: r["n"] for r in cells.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `capacity` rows
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    pieces = cut(token_pieces(docs, path, capacity))
+    counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most `capacity` rows
     places = segments(plan(counts, capacity))
+    many = F.element_at(F.array(*(F.lit(-(-counts.get(size, 1) // CELL_ROWS)) for size in range(1, capacity + 1))), F.col("length").cast("int"))
+    pieces = pieces.withColumn("cell", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), many).cast("int"))
+    cells = pieces.groupBy("length", "cell").agg(F.count("*").alias("n"))
     before = cells.withColumn("before", F.sum("n").over(Window.partitionBy("length").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1))).select("length", "cell", F.coalesce("before", F.lit(0)).alias("before"))
     ranked = pieces.withColumn("rank", F.row_number().over(Window.partitionBy("length", "cell").orderBy("doc_id", "piece", "ids_crc32"))).join(before, ["length", "cell"]).withColumn("rank", F.col("rank") + F.col("before") - 1)
 
@@ -248,4 +255,4 @@ def best_fit_packing(docs: DataFrame, path: str | None = None, capacity: int = C
                 at[mine] = a + np.searchsorted(first[a:b], rank[mine], "right") - 1
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "piece", "start", "length", "ids_crc32")), pa.array(sequence[at] + rank - first[at]), pa.array(offset[at])], ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
-    return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank").mapInArrow(place, PIECES + ", sequence_id long, offset long")
+    return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank").mapInArrow(place, f"doc_id {kind}, {PIECES}, sequence_id long, offset long")

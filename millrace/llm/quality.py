@@ -3,7 +3,7 @@
 Each whole text becomes a few dozen statistics (byte classes, word lengths, repeated
 words and lines, marks). Random Fourier features approximate a Gaussian kernel over
 the standardised statistics; the normal equations are summed per partition and then in
-two levels, so the driver receives a few matrices whatever the input; ridge scores are
+levels of at most MEET sums a task, so the driver receives a few matrices whatever the input; ridge scores are
 calibrated by isotonic regression on held-back folds of the training rows, counted in
 fixed bins.
 
@@ -38,8 +38,10 @@ THRESHOLD = 0.7
 SCALE_ROWS = 20_000
 #: Bins of raw ridge scores for calibration.
 BINS = 400
-#: Groups of partitions whose sums meet before the driver adds them.
+#: Sums that meet in one task, level by level, and that the driver adds at last.
 MEET = 16
+#: Words of a stretch whose distinct words are counted.
+STRETCH = 200
 
 _LOWER = np.zeros(256, bool)
 _LOWER[97:123] = True
@@ -73,8 +75,7 @@ def statistics(text: bytes | None) -> list[float]:
     entropy = float(-(p * np.log2(p)).sum())
     body = max(float(share[~_SPACE].sum()), 1e-9)
     cap = [float(share[m].sum()) / body for m in (_LOWER, _UPPER, _DIGIT, _HIGH, _STOP, _ODD, _LOUD, _MARK)]
-    window = 200
-    local = len({x for x in words[:window]}) / max(min(window, w), 1)
+    local = sum(len(set(words[a : a + STRETCH])) for a in range(0, len(words), STRETCH)) / w
     near = len(set(zip(words, words[1:]))) / w
     distinct_lines = len(set(lines)) / len(lines)
     return [
@@ -131,7 +132,7 @@ class Model:
 
 
 def _sums(rows: DataFrame, make, size: int) -> np.ndarray:
-    """Sum of the per-partition vectors that ``make(stats, y, fold)`` adds up, met in two levels."""
+    """Sum of the per-partition vectors that ``make(stats, y, fold)`` adds up; at most MEET of them meet in a task, level by level."""
 
     def part(batches):
         total = np.zeros(size)
@@ -139,14 +140,18 @@ def _sums(rows: DataFrame, make, size: int) -> np.ndarray:
             if batch.num_rows:
                 stats = np.asarray(batch.column(0).flatten(), np.float64).reshape(-1, N_STATS)
                 total += make(stats, np.asarray(batch.column(1), np.float64), np.asarray(batch.column(2), np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % MEET], pa.int32()), pa.array([total.tolist()], pa.list_(pa.float64()))], ["g", "v"])
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([total.tolist()], pa.list_(pa.float64()))], ["g", "v"])
 
-    def meet(table: pa.Table) -> pa.Table:
-        v = np.asarray(table.column("v").combine_chunks().flatten()).reshape(table.num_rows, -1).sum(axis=0)
-        return pa.table({"v": pa.array([v.tolist()], pa.list_(pa.float64()))})
-
-    parts = rows.select("stats", "y", "fold").mapInArrow(part, "g int, v array<double>")
-    met = parts.groupBy("g").applyInArrow(meet, "v array<double>").collect()  # at most MEET rows
+    def meet(key, batches):
+        total = np.zeros(size)
+        for batch in batches:  # one sum at a time
+            total += np.asarray(batch.column("v").flatten()).reshape(batch.num_rows, size).sum(axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tolist()], pa.list_(pa.float64()))], ["g", "v"])
+
+    met, many = rows.select("stats", "y", "fold").mapInArrow(part, "g int, v array<double>"), rows.rdd.getNumPartitions()
+    while many > MEET:
+        met, many = met.withColumn("g", F.floor(F.col("g") / MEET).cast("int")).groupBy("g").applyInArrow(meet, "g int, v array<double>"), -(-many // MEET)
+    met = met.select("v").collect()  # at most MEET rows
     return np.sum([np.asarray(r["v"]) for r in met], axis=0) if met else np.zeros(size)
 
 
@@ -224,14 +229,13 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Rows of docs with a score of ``threshold`` or more, scored in place by the fitted model."""
-    columns = docs.columns
     model = fit(cut(stats_of(docs)), labels)
 
     @F.pandas_udf("double")
     def score(text):
-        x = np.array([statistics(t.encode() if isinstance(t, str) else None) for t in text], np.float64).reshape(-1, N_STATS)
         import pandas as pd
 
+        x = np.array([statistics(t.encode("utf-8", "replace") if isinstance(t, str) else None) for t in text], np.float64).reshape(-1, N_STATS)
         return pd.Series(model.score(x.astype(np.float32)))
 
-    return docs.withColumn("score_", score("text")).filter(F.col("score_") >= threshold).select(*columns)
+    return docs.filter(score(docs["text"]) >= threshold)

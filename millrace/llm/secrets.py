@@ -10,11 +10,15 @@ of their document: a weak part is reported only if a complementary part lies wit
 identifiers and endpoints need a secret). Weak parts inside a base span are that span.
 
 All work is per row, on arrays of the row's parts: no shuffle, no key that can be hot.
-The weak patterns run only over texts that can hold both sides of a link. The cost of
-one row's join is its weak parts times its parts.
+The weak patterns run only over texts that can hold both sides of a link. The interval join
+of one row sorts its parts once and merges both sides in a pass forwards, which carries how
+far the other side reaches, and one backwards, which carries where it next begins. Passes
+over n parts gather their results in chunks of about sqrt(n), since arrays are copied as
+they grow.
 
 Defined results: null text is empty text; an empty table gives no rows; null ids and
-repeated rows keep their own row; other columns pass through untouched by ``scan``.
+repeated rows keep their own row; every column of docs comes back as it was (``redact``
+changes text, and n_chars where there is one).
 """
 
 from __future__ import annotations
@@ -22,6 +26,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.names import let
+from .common import whole
+
 #: Fixed patterns of the base kinds; ASCII letters in either case for the words of ASSIGN.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{12,}"
@@ -35,6 +42,21 @@ REACH = 200
 _PART = "array<struct<start:int,kind:int,end:int>>"
 
 
+def _gather(items: Column, zero: Column, advance, emit, kind: str) -> Column:
+    """What ``emit(state, item)`` gives for each item in order, in one array; ``advance(state, item)`` carries the state on."""
+    width = lambda v: F.greatest(F.ceil(F.sqrt(F.size(v))).cast("int"), F.lit(1))
+    chunks = lambda v, w: F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / w).cast("int")), lambda i: F.slice(v, i * w + 1, w))
+    # The state at the start of each chunk, then each chunk on its own.
+    starts = lambda parts: F.aggregate(parts, F.array(zero), lambda acc, part: F.concat(acc, F.array(F.aggregate(part, F.element_at(acc, -1), advance))))
+
+    def own(part: Column, start: Column) -> Column:
+        first = F.struct(start.alias("state"), F.array().cast(kind).alias("out"))
+        return F.aggregate(part, first, lambda acc, x: F.struct(advance(acc["state"], x).alias("state"), F.concat(acc["out"], emit(acc["state"], x)).alias("out")), lambda acc: acc["out"])
+
+    both = lambda parts: let(starts(parts), lambda at: F.flatten(F.transform(parts, lambda part, i: own(part, F.get(at, i)))))
+    return let(items, lambda v: F.when(F.size(v) > 0, let(chunks(v, width(v)), both)).otherwise(F.array().cast(kind)))
+
+
 def _found(text: Column, pattern: str, kind: int, maybe: Column, keep=None) -> Column:
     """Spans (start, kind, end) of the leftmost non-overlapping matches, in code points.
 
@@ -42,22 +64,40 @@ def _found(text: Column, pattern: str, kind: int, maybe: Column, keep=None) -> C
     """
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(_PART).alias("out"))
+    size = lambda x: F.coalesce(F.length(x["hit"]), F.lit(0))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["between"])
-        end = start + F.coalesce(F.length(x["hit"]), F.lit(0))
-        span = F.array(F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end")))
+    def span(at: Column, x: Column) -> Column:
+        start = at + F.length(x["between"])
+        one = F.array(F.struct(start.alias("start"), F.lit(kind).alias("kind"), (start + size(x)).alias("end")))
         good = x["hit"].isNotNull() if keep is None else F.coalesce(keep(x["hit"]), F.lit(False))
-        return F.struct(end.alias("at"), F.when(good, F.concat(acc["out"], span)).otherwise(acc["out"]).alias("out"))
+        return F.when(good, one).otherwise(F.array().cast(_PART))
 
     pairs = F.arrays_zip(between.alias("between"), hits.alias("hit"))
-    return F.when(maybe, F.aggregate(pairs, zero, step, lambda acc: acc["out"])).otherwise(F.array().cast(_PART))
+    return F.when(maybe, _gather(pairs, F.lit(0), lambda at, x: at + F.length(x["between"]) + size(x), span, _PART)).otherwise(F.array().cast(_PART))
+
+
+def _told(weak: Column, other: Column, reach: int) -> Column:
+    """The weak spans, each with ``near``: whether some other span is at most ``reach`` apart (-1: overlaps)."""
+    told = "array<struct<start:int,kind:int,end:int,near:boolean>>"
+    mark = lambda spans, side: F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.lit(side).alias("weak"), F.lit(False).alias("near")))
+    parts = F.array_sort(F.concat(mark(weak, True), mark(other, False)))
+
+    def passed(items: Column, zero: int, place, reached) -> Column:
+        """Items with ``near`` set where ``reached(state, item)``; the state is the best place of the other side so far."""
+        emit = lambda at, s: F.array(F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["weak"].alias("weak"), (s["near"] | (s["weak"] & reached(at, s))).alias("near")))
+        return _gather(items, F.lit(zero), lambda at, s: F.when(s["weak"], at).otherwise(place(at, s)), emit, "array<struct<start:int,kind:int,end:int,weak:boolean,near:boolean>>")
+
+    low, high = -(1 << 30), 1 << 30
+    forward = passed(parts, low, lambda at, s: F.greatest(at, s["end"]), lambda at, s: s["start"] <= at + reach)
+    back = passed(F.reverse(forward), high, lambda at, s: F.least(at, s["start"]), lambda at, s: at <= s["end"] + reach)
+    plain = lambda spans: F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["near"].alias("near")))
+    none = F.transform(weak, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.lit(False).alias("near")))
+    return F.when((F.size(weak) > 0) & (F.size(other) > 0), plain(F.reverse(F.filter(back, lambda s: s["weak"])))).otherwise(none.cast(told))
 
 
-def _near(a: Column, b: Column, reach: int) -> Column:
-    """The intervals are at most ``reach`` apart."""
-    return (a["start"] <= b["end"] + reach) & (b["start"] <= a["end"] + reach)
+def _chosen(weak: Column, other: Column, reach: int, near: bool) -> Column:
+    """The weak spans that are near another span, or those that are not."""
+    return F.transform(F.filter(_told(weak, other, reach), lambda s: s["near"] == F.lit(near)), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
 
 
 def _joined(spans: Column) -> Column:
@@ -67,49 +107,49 @@ def _joined(spans: Column) -> Column:
 
 
 def scan(docs: DataFrame, reach: int = REACH) -> DataFrame:
-    """docs with ``base_spans_`` and ``linked_spans_``: arrays of (start, kind number, end)."""
-    text = F.coalesce(F.col("text"), F.lit(""))
+    """``row`` (the columns of docs), ``base`` and ``linked``: arrays of (start, kind number, end)."""
+    c = F.col
     value = lambda hit: F.length(F.regexp_extract(hit, ASSIGN, 1)) >= 8
-    base = docs.withColumn("t_", text).withColumn("assign_", _found(F.col("t_"), ASSIGN, 0, F.col("t_").rlike(ASSIGN), value))
-    base = base.withColumn("access_", _found(F.col("t_"), ACCESS, 1, F.col("t_").contains("AKIA"))).withColumn("hex_", _found(F.col("t_"), HEX, 2, F.col("t_").rlike(HEX)))
-    t = F.col("t_")
-    strong = F.concat("assign_", "hex_")
-    anchors = t.contains("://") | (F.size("access_") > 0) | t.rlike(IDENTIFIER)
+    base = docs.select(whole(docs).alias("row"), F.coalesce(F.col("text"), F.lit("")).alias("t"))
+    t = c("t")
+    base = base.withColumns({"assign": _found(t, ASSIGN, 0, t.rlike(ASSIGN), value), "access": _found(t, ACCESS, 1, t.contains("AKIA")), "hex": _found(t, HEX, 2, t.rlike(HEX))})
+    base = base.withColumns({"strong": F.concat("assign", "hex"), "base": F.concat("assign", "access", "hex"), "anchored": t.contains("://") | (F.size("access") > 0) | t.rlike(IDENTIFIER)})
+    apart = lambda weak, other: _chosen(weak, other, -1, False)
+    linked = lambda weak, other: _chosen(weak, other, reach, True)
     letters = lambda hit: hit.rlike("[A-Za-z]") & hit.rlike("[0-9]")
-    base = base.withColumn("base_spans_", F.concat("assign_", "access_", "hex_")).withColumn("secret_", _found(t, SECRET, 4, anchors, letters))
-    apart = lambda weak: F.filter(weak, lambda w: ~F.exists("base_spans_", lambda b: (w["start"] < b["end"]) & (b["start"] < w["end"])))
-    base = base.withColumn("secret_", apart("secret_"))
-    both = anchors & ((F.size(strong) > 0) | (F.size("secret_") > 0))
-    base = base.withColumn("identifier_", apart(_found(t, IDENTIFIER, 3, both))).withColumn("endpoint_", apart(_found(t, ENDPOINT, 5, both & t.contains("://"))))
+    base = base.withColumn("runs", _found(t, SECRET, 4, c("anchored"), letters))
+    base = base.withColumn("runs", apart(c("runs"), c("base")))
+    both = c("anchored") & ((F.size("strong") > 0) | (F.size("runs") > 0))
+    base = base.withColumns({"names": _found(t, IDENTIFIER, 3, both), "hosts": _found(t, ENDPOINT, 5, both & t.contains("://"))})
+    base = base.withColumns({"names": apart(c("names"), c("base")), "hosts": apart(c("hosts"), c("base"))})
     # A bare run inside an identifier or endpoint is that part.
-    base = base.withColumn("ends_", F.concat("identifier_", "endpoint_")).withColumn("secret_", F.filter("secret_", lambda w: ~F.exists("ends_", lambda b: (w["start"] < b["end"]) & (b["start"] < w["end"]))))
-    linked = lambda weak, other: F.filter(weak, lambda w: F.exists(other, lambda o: _near(w, o, reach)))
-    found = F.concat(linked("identifier_", F.concat(strong, "secret_")), linked("secret_", F.concat("access_", "ends_")), linked("endpoint_", F.concat(strong, "secret_")))
-    return base.withColumn("linked_spans_", found).drop("t_", "assign_", "access_", "hex_", "secret_", "identifier_", "endpoint_", "ends_")
+    base = base.withColumn("ends", F.concat("names", "hosts"))
+    base = base.withColumn("runs", apart(c("runs"), c("ends")))
+    base = base.withColumns({"secret_side": F.concat("strong", "runs"), "other_side": F.concat("access", "ends")})
+    found = F.concat(linked(c("names"), c("secret_side")), linked(c("runs"), c("other_side")), linked(c("hosts"), c("secret_side")))
+    return base.select("row", "base", found.alias("linked"))
 
 
 def report(docs: DataFrame, reach: int = REACH) -> DataFrame:
     """doc_id, counts by base kind, base_sha256, spans (text) and n_linked."""
-    n = lambda kind: F.size(F.filter("base_spans_", lambda s: s["kind"] == kind)).cast("long")
-    found = scan(docs.select("doc_id", "text"), reach).drop("text")
-    return found.select("doc_id", n(0).alias("n_assign"), n(1).alias("n_access"), n(2).alias("n_hex"), F.sha2(_joined(F.col("base_spans_")).cast("binary"), 256).alias("base_sha256"), _joined(F.concat("base_spans_", "linked_spans_")).alias("spans"), F.size("linked_spans_").cast("long").alias("n_linked"))
+    n = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    found = scan(docs.select("doc_id", "text"), reach)
+    return found.select("row.doc_id", n(0).alias("n_assign"), n(1).alias("n_access"), n(2).alias("n_hex"), F.sha2(_joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), _joined(F.concat("base", "linked")).alias("spans"), F.size("linked").cast("long").alias("n_linked"))
 
 
 def redact(docs: DataFrame, reach: int = REACH, mark: str = "[SECRET]") -> DataFrame:
     """docs with every span, merged where they overlap, replaced in ``text``; null text stays null, n_chars follows."""
-    found = scan(docs, reach).withColumn("s_", F.array_sort(F.concat("base_spans_", "linked_spans_")))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        out = F.concat(acc["out"], F.col("text").substr(acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0))), F.when(fresh, F.lit(mark)).otherwise(F.lit("")))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
-
-    done = F.aggregate("s_", start, step, lambda acc: F.concat(acc["out"], F.col("text").substr(acc["at"] + 1, F.length("text"))))
-    text = F.when(F.size("s_") > 0, done).otherwise(F.col("text"))
-    found = found.withColumn("text2_", text)
-    cols = [F.col("text2_").alias("text") if c == "text" else F.when(F.size("s_") > 0, F.length("text2_").cast("long")).otherwise(F.col("n_chars")).alias("n_chars") if c == "n_chars" else F.col(c) for c in docs.columns]
-    return found.select(*cols)
+    found = scan(docs, reach).select("row", F.array_sort(F.concat("base", "linked")).alias("spans"))
+    text = F.col("row.text")
+    # What stays before each span, and a mark where a span begins that no earlier one covers.
+    piece = lambda at, s: F.array(text.substr(at + 1, F.greatest(s["start"] - at, F.lit(0))), F.when(s["start"] >= at, mark).otherwise(""))
+    past = lambda at, s: F.greatest(at, s["end"])
+    parts = _gather(F.col("spans"), F.lit(0), past, piece, "array<string>")
+    end = F.aggregate("spans", F.lit(0), past)
+    done = F.concat(F.array_join(parts, ""), text.substr(end + 1, F.length(text)))
+    found = found.select("row", F.when(F.size("spans") > 0, done).otherwise(text).alias("clean"), (F.size("spans") > 0).alias("changed"))
+    new = {"text": F.col("clean"), "n_chars": F.when(F.col("changed"), F.length("clean").cast("long")).otherwise(F.col("row.n_chars"))} if "n_chars" in docs.columns else {"text": F.col("clean")}
+    return found.select(*(new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def _oracle(reach: int = REACH) -> str:

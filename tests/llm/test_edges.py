@@ -2,7 +2,7 @@
 
 import pytest
 
-from millrace.llm import ann, attribution, langid, mixing, packing, quality, secrets, sharding, simhash, vectors
+from millrace.llm import ann, attribution, langid, mixing, packing, quality, secrets, sharding, similar, simhash, vectors
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, h string, k_ string, fp string, size string, cell string"
 X = ("x", "x", "x", "x", "x")
@@ -68,13 +68,49 @@ def test_fingerprint_zero_links_like_any_other(docs):
     assert got == {(1, 1), (2, 1), (3, 1), (None, 1)}
 
 
-def test_stages_keep_columns(spark, docs, labels):
-    for stage in (lambda d: quality.keep_good(d, labels, 0.0), simhash.keep_one, secrets.redact, mixing.mix):
-        out = stage(docs)
-        assert out.columns == docs.columns
-        out.count()
-        assert stage(docs.limit(0)).count() == 0
-    assert simhash.keep_one(docs).filter("doc_id = 4").count() == 1
+CLASH = ("k_", "n_", "t_", "s_", "h", "h_", "score_", "copy_", "copies_", "text2_", "assign_", "row", "key", "base", "size", "cell", "rank", "r", "name", "clean", "spans", "base_spans_")
+
+
+@pytest.mark.parametrize("name", ["quality", "near_duplicates", "secrets", "mixing"])
+def test_stages_keep_values(spark, docs, labels, name):
+    """Columns of the user's come back with their values, whatever they are called."""
+    from pyspark.sql import functions as F
+
+    stage = {"quality": lambda d: quality.keep_good(d, labels, 0.0), "near_duplicates": similar.keep_one, "secrets": secrets.redact, "mixing": mixing.mix}[name]
+    own = docs.select("doc_id", "text", "lang", "source", "n_chars", F.create_map(F.lit("a"), "lang").alias("map"), *(F.concat(F.lit(c + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias(c) for c in CLASH))
+    out = stage(own)
+    assert out.columns == own.columns
+    rows = out.collect()
+    assert rows
+    text = {r[0]: r[1] for r in ROWS}
+    for r in rows:
+        i = "-" if r["doc_id"] is None else str(r["doc_id"])
+        assert all(r[c] == f"{c}:{i}" for c in CLASH) and r["map"] == {"a": r["lang"]}
+        assert r["doc_id"] is None or r["text"] == text[r["doc_id"]]
+    want = {"quality": len(ROWS), "secrets": len(ROWS), "near_duplicates": 6}
+    assert len(rows) == want.get(name, len(rows))
+    assert stage(own.limit(0)).count() == 0
+
+
+def test_repeated_rows_stay_apart_where_another_column_differs(spark):
+    docs = spark.createDataFrame([(1, "same words here", "a", k % 2) for k in range(40)], "doc_id long, text string, source string, extra int")
+    got = mixing.mix(docs).groupBy("extra").count().collect()
+    assert {r["extra"]: r["count"] for r in got} == {0: 20, 1: 20}
+    assert similar.keep_one(docs).count() == 1
+
+
+def test_packing_of_any_id_and_any_bytes(spark):
+    df = spark.createDataFrame([("a", b"plain text"), ("b", b"bad \xff\xfe bytes, \xc3("), (None, b"x")], "doc_id string, b binary").selectExpr("doc_id", "cast(b as string) as text")
+    got = packing.best_fit_packing(df).collect()
+    assert sorted(str(r["doc_id"]) for r in got) == ["None", "a", "b"] and {r["sequence_id"] for r in got} == {0}
+    counts = {r["doc_id"]: r["doc_tokens"] for r in attribution.token_counts(df).collect()}
+    assert counts["b"] > 3
+
+
+def test_quality_of_one_class_and_of_no_label(spark, docs):
+    one = spark.createDataFrame([(4, 1, 0), (6, 1, 0), (7, 1, 0)], "doc_id long, quality int, toxic int")
+    assert {r["score"] for r in quality.classify(docs, one).collect()} == {1.0}
+    assert {r["score"] for r in quality.classify(docs, one.limit(0)).collect()} == {0.5}
 
 
 VECTORS = "vec_id long, embedding array<float>, label int, id string, v string, n string"
