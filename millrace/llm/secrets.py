@@ -26,7 +26,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.names import let
 from .common import whole
 
 #: Fixed patterns of the base kinds; ASCII letters in either case for the words of ASSIGN.
@@ -42,62 +41,48 @@ REACH = 200
 _PART = "array<struct<start:int,kind:int,end:int>>"
 
 
-def _gather(items: Column, zero: Column, advance, emit, kind: str) -> Column:
-    """What ``emit(state, item)`` gives for each item in order, in one array; ``advance(state, item)`` carries the state on."""
-    width = lambda v: F.greatest(F.ceil(F.sqrt(F.size(v))).cast("int"), F.lit(1))
-    chunks = lambda v, w: F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / w).cast("int")), lambda i: F.slice(v, i * w + 1, w))
+def _gather(items: str, zero: str, advance, emit, kind: str) -> str:
+    """SQL: what ``emit(state, item)`` gives for each item in order, in one array; ``advance(state, item)`` carries the state on. (Text, since so large a tree of Column objects takes the driver long to build.)"""
+    width = "greatest(cast(ceil(sqrt(size(v_))) as int), 1)"
+    chunks = f"transform(sequence(0, cast(floor((size(v_) - 1) / {width}) as int)), i_ -> slice(v_, i_ * {width} + 1, {width}))"
     # The state at the start of each chunk, then each chunk on its own.
-    starts = lambda parts: F.aggregate(parts, F.array(zero), lambda acc, part: F.concat(acc, F.array(F.aggregate(part, F.element_at(acc, -1), advance))))
+    starts = f"aggregate(parts_, array({zero}), (acc_, part_) -> concat(acc_, array(aggregate(part_, element_at(acc_, -1), (s_, x_) -> {advance('s_', 'x_')}))))"
+    first = f"named_struct('state', get(at_, k_), 'out', cast(array() as {kind}))"
+    own = f"aggregate(p_, {first}, (a_, y_) -> named_struct('state', {advance('a_.state', 'y_')}, 'out', concat(a_.out, {emit('a_.state', 'y_')})), a_ -> a_.out)"
+    body = f"element_at(transform(array({starts}), at_ -> flatten(transform(parts_, (p_, k_) -> {own}))), 1)"
+    return f"element_at(transform(array({items}), v_ -> if(size(v_) > 0, element_at(transform(array({chunks}), parts_ -> {body}), 1), cast(array() as {kind}))), 1)"
 
-    def own(part: Column, start: Column) -> Column:
-        first = F.struct(start.alias("state"), F.array().cast(kind).alias("out"))
-        return F.aggregate(part, first, lambda acc, x: F.struct(advance(acc["state"], x).alias("state"), F.concat(acc["out"], emit(acc["state"], x)).alias("out")), lambda acc: acc["out"])
 
-    both = lambda parts: let(starts(parts), lambda at: F.flatten(F.transform(parts, lambda part, i: own(part, F.get(at, i)))))
-    return let(items, lambda v: F.when(F.size(v) > 0, let(chunks(v, width(v)), both)).otherwise(F.array().cast(kind)))
-
-
-def _found(text: Column, pattern: str, kind: int, maybe: Column, keep=None) -> Column:
-    """Spans (start, kind, end) of the leftmost non-overlapping matches, in code points.
+def _with_found(docs: DataFrame, name: str, pattern: str, kind: int, maybe: Column, keep=None) -> DataFrame:
+    """Add spans (start, kind, end) of the leftmost non-overlapping matches in ``t``, in code points, of texts where ``maybe`` holds.
 
     Matches and the pieces between them alternate, so their lengths give the places.
     """
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
-    size = lambda x: F.coalesce(F.length(x["hit"]), F.lit(0))
-
-    def span(at: Column, x: Column) -> Column:
-        start = at + F.length(x["between"])
-        one = F.array(F.struct(start.alias("start"), F.lit(kind).alias("kind"), (start + size(x)).alias("end")))
-        good = x["hit"].isNotNull() if keep is None else F.coalesce(keep(x["hit"]), F.lit(False))
-        return F.when(good, one).otherwise(F.array().cast(_PART))
-
-    pairs = F.arrays_zip(between.alias("between"), hits.alias("hit"))
-    return F.when(maybe, _gather(pairs, F.lit(0), lambda at, x: at + F.length(x["between"]) + size(x), span, _PART)).otherwise(F.array().cast(_PART))
-
-
-def _told(weak: Column, other: Column, reach: int) -> Column:
-    """The weak spans, each with ``near``: whether some other span is at most ``reach`` apart (-1: overlaps)."""
-    told = "array<struct<start:int,kind:int,end:int,near:boolean>>"
-    mark = lambda spans, side: F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.lit(side).alias("weak"), F.lit(False).alias("near")))
-    parts = F.array_sort(F.concat(mark(weak, True), mark(other, False)))
+    hits = F.regexp_extract_all("t", F.lit(pattern), F.lit(0))
+    lengths = lambda x: F.transform(x, lambda s: F.length(s))
+    good = F.transform(hits, (lambda s: F.coalesce(keep(s), F.lit(False))) if keep else (lambda s: F.lit(True)))
+    pairs = F.arrays_zip(lengths(F.split("t", pattern, -1)).alias("gap"), lengths(hits).alias("hit"), good.alias("good"))
+    end = lambda at, x: f"{at} + {x}.gap + coalesce({x}.hit, 0)"
+    span = lambda at, x: f"if(coalesce({x}.good, false), array(named_struct('start', {at} + {x}.gap, 'kind', {kind}, 'end', {end(at, x)})), cast(array() as {_PART}))"
+    return docs.withColumn("pairs", F.when(maybe, pairs)).withColumn(name, F.expr(_gather("pairs", "0", end, span, _PART))).drop("pairs")
 
-    def passed(items: Column, zero: int, place, reached) -> Column:
-        """Items with ``near`` set where ``reached(state, item)``; the state is the best place of the other side so far."""
-        emit = lambda at, s: F.array(F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["weak"].alias("weak"), (s["near"] | (s["weak"] & reached(at, s))).alias("near")))
-        return _gather(items, F.lit(zero), lambda at, s: F.when(s["weak"], at).otherwise(place(at, s)), emit, "array<struct<start:int,kind:int,end:int,weak:boolean,near:boolean>>")
 
-    low, high = -(1 << 30), 1 << 30
-    forward = passed(parts, low, lambda at, s: F.greatest(at, s["end"]), lambda at, s: s["start"] <= at + reach)
-    back = passed(F.reverse(forward), high, lambda at, s: F.least(at, s["start"]), lambda at, s: at <= s["end"] + reach)
-    plain = lambda spans: F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["near"].alias("near")))
-    none = F.transform(weak, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.lit(False).alias("near")))
-    return F.when((F.size(weak) > 0) & (F.size(other) > 0), plain(F.reverse(F.filter(back, lambda s: s["weak"])))).otherwise(none.cast(told))
+def _chosen(weak: str, other: str, reach: int, near: bool) -> Column:
+    """The weak spans that are at most ``reach`` apart from another span (-1: overlap it), or those that are not."""
+    told = "array<struct<start:int,kind:int,end:int,weak:boolean,near:boolean>>"
+    new = lambda s, weak, near: f"named_struct('start', {s}.start, 'kind', {s}.kind, 'end', {s}.end, 'weak', {weak}, 'near', {near})"
+    parts = f"array_sort(concat(transform({weak}, w_ -> {new('w_', 'true', 'false')}), transform({other}, w_ -> {new('w_', 'false', 'false')})))"
 
+    def passed(items: str, zero: str, better: str, place: str, reached) -> str:
+        """Items with ``near`` set where the other side, whose best place so far is the state, reaches them."""
+        emit = lambda at, s: f"array({new(s, f'{s}.weak', f'({s}.near or ({s}.weak and {reached(at, s)}))')})"
+        return _gather(items, zero, lambda at, s: f"if({s}.weak, {at}, {better}({at}, {s}.{place}))", emit, told)
 
-def _chosen(weak: Column, other: Column, reach: int, near: bool) -> Column:
-    """The weak spans that are near another span, or those that are not."""
-    return F.transform(F.filter(_told(weak, other, reach), lambda s: s["near"] == F.lit(near)), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
+    forward = passed(parts, f"{-(1 << 30)}", "greatest", "end", lambda at, s: f"{s}.start <= {at} + {reach}")
+    back = passed(f"reverse({forward})", f"{1 << 30}", "least", "start", lambda at, s: f"{at} <= {s}.end + {reach}")
+    plain = f"transform(filter({back}, s_ -> s_.weak and s_.near = {str(near).lower()}), s_ -> named_struct('start', s_.start, 'kind', s_.kind, 'end', s_.end))"
+    alone = f"cast(array() as {_PART})" if near else weak
+    return F.expr(f"if(size({weak}) > 0 and size({other}) > 0, array_sort({plain}), {alone})")
 
 
 def _joined(spans: Column) -> Column:
@@ -112,21 +97,22 @@ def scan(docs: DataFrame, reach: int = REACH) -> DataFrame:
     value = lambda hit: F.length(F.regexp_extract(hit, ASSIGN, 1)) >= 8
     base = docs.select(whole(docs).alias("row"), F.coalesce(F.col("text"), F.lit("")).alias("t"))
     t = c("t")
-    base = base.withColumns({"assign": _found(t, ASSIGN, 0, t.rlike(ASSIGN), value), "access": _found(t, ACCESS, 1, t.contains("AKIA")), "hex": _found(t, HEX, 2, t.rlike(HEX))})
+    base = _with_found(base, "assign", ASSIGN, 0, t.rlike(ASSIGN), value)
+    base = _with_found(base, "access", ACCESS, 1, t.contains("AKIA"))
+    base = _with_found(base, "hex", HEX, 2, t.rlike(HEX))
     base = base.withColumns({"strong": F.concat("assign", "hex"), "base": F.concat("assign", "access", "hex"), "anchored": t.contains("://") | (F.size("access") > 0) | t.rlike(IDENTIFIER)})
     apart = lambda weak, other: _chosen(weak, other, -1, False)
     linked = lambda weak, other: _chosen(weak, other, reach, True)
     letters = lambda hit: hit.rlike("[A-Za-z]") & hit.rlike("[0-9]")
-    base = base.withColumn("runs", _found(t, SECRET, 4, c("anchored"), letters))
-    base = base.withColumn("runs", apart(c("runs"), c("base")))
+    base = _with_found(base, "runs", SECRET, 4, c("anchored"), letters).withColumn("runs", apart("runs", "base"))
     both = c("anchored") & ((F.size("strong") > 0) | (F.size("runs") > 0))
-    base = base.withColumns({"names": _found(t, IDENTIFIER, 3, both), "hosts": _found(t, ENDPOINT, 5, both & t.contains("://"))})
-    base = base.withColumns({"names": apart(c("names"), c("base")), "hosts": apart(c("hosts"), c("base"))})
+    base = _with_found(base, "names", IDENTIFIER, 3, both)
+    base = _with_found(base, "hosts", ENDPOINT, 5, both & t.contains("://"))
+    base = base.withColumns({"names": apart("names", "base"), "hosts": apart("hosts", "base")})
     # A bare run inside an identifier or endpoint is that part.
-    base = base.withColumn("ends", F.concat("names", "hosts"))
-    base = base.withColumn("runs", apart(c("runs"), c("ends")))
+    base = base.withColumn("ends", F.concat("names", "hosts")).withColumn("runs", apart("runs", "ends"))
     base = base.withColumns({"secret_side": F.concat("strong", "runs"), "other_side": F.concat("access", "ends")})
-    found = F.concat(linked(c("names"), c("secret_side")), linked(c("runs"), c("other_side")), linked(c("hosts"), c("secret_side")))
+    found = F.concat(linked("names", "secret_side"), linked("runs", "other_side"), linked("hosts", "secret_side"))
     return base.select("row", "base", found.alias("linked"))
 
 
@@ -142,10 +128,10 @@ def redact(docs: DataFrame, reach: int = REACH, mark: str = "[SECRET]") -> DataF
     found = scan(docs, reach).select("row", F.array_sort(F.concat("base", "linked")).alias("spans"))
     text = F.col("row.text")
     # What stays before each span, and a mark where a span begins that no earlier one covers.
-    piece = lambda at, s: F.array(text.substr(at + 1, F.greatest(s["start"] - at, F.lit(0))), F.when(s["start"] >= at, mark).otherwise(""))
-    past = lambda at, s: F.greatest(at, s["end"])
-    parts = _gather(F.col("spans"), F.lit(0), past, piece, "array<string>")
-    end = F.aggregate("spans", F.lit(0), past)
+    quoted = mark.replace("\\", "\\\\").replace("'", "\\'")
+    piece = lambda at, s: f"array(substr(row.text, {at} + 1, greatest({s}.start - {at}, 0)), if({s}.start >= {at}, '{quoted}', ''))"
+    parts = F.expr(_gather("spans", "0", lambda at, s: f"greatest({at}, {s}.end)", piece, "array<string>"))
+    end = F.expr("coalesce(array_max(transform(spans, s_ -> s_.end)), 0)")
     done = F.concat(F.array_join(parts, ""), text.substr(end + 1, F.length(text)))
     found = found.select("row", F.when(F.size("spans") > 0, done).otherwise(text).alias("clean"), (F.size("spans") > 0).alias("changed"))
     new = {"text": F.col("clean"), "n_chars": F.when(F.col("changed"), F.length("clean").cast("long")).otherwise(F.col("row.n_chars"))} if "n_chars" in docs.columns else {"text": F.col("clean")}
