@@ -45,7 +45,7 @@ PIVOT_COSINE = 0.8
 TARGET = 0.995
 SEED = 9
 #: Bounds: rows of a shard, queries of a block, rows of the sample that fits the index, sample rows that serve as queries.
-SHARD = 8192
+SHARD = 4096
 QUERY_BLOCK = 8192
 SAMPLE = 4096
 CALIBRATE = 512

@@ -11,7 +11,7 @@ costs rows in proportion to its size.
 
 The pivots come from a bounded sample (ann.SAMPLE rows) and no two are near each other, so
 a dense group does not draw many. Their number grows with the square root of the rows
-(ann.pivot_count), so lists grow more slowly than the table; every vector is indexed. A
+of the largest label (ann.pivot_count), so lists grow more slowly than the table; every vector is indexed. A
 length that the sample does not hold has no pivots: its vectors (rare ones) form one list
 per label, whose pairs are all verified, in blocks.
 
@@ -35,6 +35,8 @@ from .blocks import by_unit, forest, groups_of, units
 NEAREST = 12
 MIN_SHARED = 3
 COSINE = 0.93
+#: Files of a block of more rows are walked one by one; those of a smaller block are counted by one product of 0/1 matrices.
+WALKED = 512
 #: A tile with this share of pairs left to verify is verified as a matrix product, others pair by pair.
 DENSE = 0.02
 NO_PIVOT = -1
@@ -45,6 +47,13 @@ def shared_pivots(order: np.ndarray, pivot: int, left: np.ndarray, right: np.nda
 
     Every other pivot's file, the rows of the block that hold it, adds one to its pairs.
     """
+    if len(order) <= WALKED:
+        local = np.unique(order)
+        has = np.zeros((len(order), len(local)), np.float32)
+        np.put_along_axis(has, np.searchsorted(local, order), 1, axis=1)
+        low = int(np.searchsorted(local, pivot))
+        sooner = has[left, :low] @ has[right, :low].T
+        return sooner + has[left, low:] @ has[right, low:].T, sooner > 0
     count, sooner = np.ones((len(left), len(right)), np.uint8), None
     place = np.full(int(max(left.max(), right.max())) + 1, -1)
     l_place, r_place = place.copy(), place
@@ -95,7 +104,7 @@ def _linked(v: np.ndarray, u: np.ndarray, maybe: np.ndarray, left: np.ndarray, r
 
 
 def links(distinct: DataFrame, n: int, cosine: float = COSINE, nearest: int = NEAREST, min_shared: int = MIN_SHARED) -> DataFrame:
-    """``id, other, n`` for n distinct vectors (label, id, v, mult): link counts where other is null, forest edges where n is 0."""
+    """``id, other, n`` for distinct vectors (label, id, v, mult), n of a label at most: link counts where other is null, forest edges where n is 0."""
     points = {d: x[thinned(x, pivot_count(n))] for d, x in sample_of(distinct, vec_col="v").items()}
 
     def describe(batches):
@@ -159,7 +168,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, **index) -> Data
     """vec_id, n_links, component_id, kept for every row of vectors (vec_id, label, embedding)."""
     fine = cut(usable(vectors.select("vec_id", "label", "embedding")).filter("label is not null").select("label", F.col("vec_id").cast("long").alias("id"), F.col("embedding").alias("v")))
     distinct = cut(fine.groupBy("label", "v").agg(F.min("id").alias("id"), F.count("*").alias("mult")))
-    found = cut(links(distinct, distinct.count(), cosine, **index))
+    most = distinct.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    found = cut(links(distinct, most or 0, cosine, **index))
     comps = connected_components(found.filter("other is not null"), "id", "other")
     degree = found.filter("other is null").groupBy("id").agg(F.sum("n").alias("n"))
     classes = distinct.join(degree, "id", "left").join(comps, F.col("id") == F.col("node"), "left").select("label", "v", (F.coalesce("n", F.lit(0)) + F.col("mult") - 1).alias("n"), F.coalesce("component", "id").alias("c"))

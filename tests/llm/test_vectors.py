@@ -1,6 +1,7 @@
 """Embedding near-duplicates and nearest neighbours against brute force."""
 
 import numpy as np
+import pytest
 
 from millrace.llm import ann, vectors
 
@@ -79,7 +80,9 @@ def test_footrule():
     assert index.footrule(np.array([0, 1, 2])).tolist() == [0, 4, 12]
 
 
-def test_shared_pivots_equal_sets():
+@pytest.mark.parametrize("walked", [0, 512])
+def test_shared_pivots_equal_sets(monkeypatch, walked):
+    monkeypatch.setattr(vectors, "WALKED", walked)
     rng = np.random.default_rng(4)
     order = np.array([np.concatenate(([7], rng.permutation(np.delete(np.arange(20), 7))[:5])) for _ in range(30)])
     left, right = np.arange(0, 12), np.arange(12, 30)
