@@ -89,3 +89,35 @@ def joined(*parts: str) -> str:
 def city_line(line1: str, city: str, state: str, zip_: str) -> str:
     csz = joined(city, state)
     return joined(line1, f"CASE WHEN {csz} <> '' AND {zip_} <> '' THEN {csz} || ' ' || {zip_} ELSE {csz} END")
+
+
+def lcs(pairs: str) -> str:
+    """CTEs that end in ``lcs_of(x, y, n)``: longest common subsequences of the distinct ``x, y`` of a query, by bit rows."""
+    return f"""lcs_in AS (SELECT DISTINCT x, y FROM ({pairs})),
+lcs_bits AS (SELECT s, ch, sum(1::HUGEINT << i::INT)::HUGEINT AS m FROM (SELECT s, unnest(string_split(s, '')) AS ch, unnest(range(0, length(s))) AS i FROM (SELECT DISTINCT x AS s FROM lcs_in WHERE x <> '')) GROUP BY s, ch),
+lcs_maps AS (SELECT s, map(list(ch), list(m)) AS mp FROM lcs_bits GROUP BY s),
+lcs_rows AS (SELECT x, y, (1::HUGEINT << length(x)::INT) - 1 AS full_, list_transform(string_split(y, ''), lambda ch: coalesce(mp[ch], 0)::HUGEINT) AS hits FROM lcs_in JOIN lcs_maps ON s = x WHERE y <> ''),
+lcs_of AS (SELECT x, y, length(x) - bit_count(list_reduce(hits, lambda r, h: (((r + (r & h)) | (r - (r & h))) & full_)::HUGEINT, full_::HUGEINT)) AS n FROM lcs_rows)"""
+
+
+def plain_words(x: str) -> str:
+    """Lower-case words of letters and digits."""
+    return words(sub(f"lower({x})", r"[^\w]|_", " "))
+
+
+def blocked_scores(reps: str) -> str:
+    """CTEs from ``reps(brand, franchisee_name, state, ord)`` to ``scored(scope, a_ord, b_ord, a_name, b_name, score)``."""
+    both = "list_sort(list_filter(a_set, lambda w: list_contains(b_set, w)))"
+    own = lambda p, o: f"list_sort(list_filter({p}_set, lambda w: NOT list_contains({o}_set, w)))"
+    join = lambda x: f"array_to_string({x}, ' ')"
+    return f"""{reps}, st AS (SELECT *, upper(trim(state)) AS st FROM reps),
+blocked AS (SELECT 'same_brand' AS scope, a.ord AS a_ord, b.ord AS b_ord, a.franchisee_name AS a_name, b.franchisee_name AS b_name FROM st a JOIN st b ON a.brand = b.brand AND a.ord < b.ord AND (a.st = b.st OR a.st = '' OR b.st = '')
+  UNION ALL SELECT 'cross_brand', a.ord, b.ord, a.franchisee_name, b.franchisee_name FROM st a JOIN st b ON a.st = b.st AND a.st <> '' AND a.brand <> b.brand AND a.ord < b.ord),
+named AS (SELECT DISTINCT scope, a_name, b_name, list_sort({plain_words('a_name')}) AS a_all, list_sort({plain_words('b_name')}) AS b_all, list_distinct({plain_words('a_name')}) AS a_set, list_distinct({plain_words('b_name')}) AS b_set FROM blocked),
+parted AS (SELECT *, {both} AS both_, {own('a', 'b')} AS a_own, {own('b', 'a')} AS b_own FROM named),
+texts AS (SELECT *, CASE WHEN scope = 'same_brand' THEN {join('list_concat(both_, a_own)')} ELSE {join('a_all')} END AS x, CASE WHEN scope = 'same_brand' THEN {join('list_concat(both_, b_own)')} ELSE {join('b_all')} END AS y, {join('both_')} AS s FROM parted),
+{lcs('SELECT x, y FROM texts')},
+rated AS (SELECT t.scope, t.a_name, t.b_name, round_even(CASE WHEN len(a_set) = 0 OR len(b_set) = 0 THEN 0.0 WHEN t.scope = 'same_brand' AND len(both_) > 0 AND (len(a_own) = 0 OR len(b_own) = 0) THEN 100.0
+  WHEN t.scope = 'same_brand' AND s <> '' THEN greatest(200.0::DOUBLE * n / (length(t.x) + length(t.y)), 200.0::DOUBLE * length(s) / (length(s) + length(t.x)), 200.0::DOUBLE * length(s) / (length(s) + length(t.y)))
+  ELSE 200.0::DOUBLE * n / (length(t.x) + length(t.y)) END, 0)::INT AS score FROM texts t LEFT JOIN lcs_of USING (x, y)),
+scored AS (SELECT b.*, r.score FROM blocked b JOIN rated r USING (scope, a_name, b_name) WHERE r.score >= CASE WHEN scope = 'same_brand' THEN 82 ELSE 60 END)"""

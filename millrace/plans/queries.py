@@ -306,14 +306,20 @@ def j_blocked_pairs(spark, d):
     return pairs.groupBy("scope", F.when(c("scope") == "same_brand", c("a_brand")).otherwise(F.upper(F.trim("a_state"))).alias("key")).agg(F.count("*").alias("pairs"))
 
 
-@query()
+_SCORED = D.blocked_scores(_REPS)
+
+
+@query(f"WITH {_SCORED} SELECT scope, a_ord, b_ord, score FROM scored")
 def er_candidates(spark, d):
     """J4, J5, SM3, SM4, TK1: scored candidate pairs."""
     pairs = resolution.candidate_pairs(resolution.representatives(locations(spark, d)))
     return pairs.select("scope", "a_ord", "b_ord", "score")
 
 
-@query()
+@query(
+    f"""WITH {_SCORED}, routed AS (SELECT scope, a_ord, b_ord, CASE WHEN score >= 96 THEN 'auto' WHEN a_ord % 3 = 0 THEN 'cached' WHEN score >= 85 THEN 'cheap' ELSE 'strong' END AS route FROM scored)
+SELECT scope, route, CASE route WHEN 'auto' THEN true WHEN 'cached' THEN b_ord % 2 = 0 AND 60 + b_ord % 40 >= 70 ELSE false END AS accepted, count(*) AS pairs FROM routed GROUP BY 1, 2, 3"""
+)
 def er_cascade(spark, d):
     """ER4, J6, PF12, ER7: routes of candidate pairs under a table of decisions."""
     pairs = resolution.candidate_pairs(resolution.representatives(locations(spark, d)))
@@ -322,7 +328,25 @@ def er_cascade(spark, d):
     return resolution.cascade(pairs, decisions).groupBy("scope", "route", "accepted").agg(F.count("*").alias("pairs"))
 
 
-@query()
+_CLASSED = f"""CASE WHEN n = '' THEN 'company' WHEN has AND regexp_matches(i, '(?i)^(dba|d/?b/?a)\\b') THEN CASE WHEN {D.company('o')} THEN 'company' END
+ WHEN has AND regexp_matches(i, '^\\d+$') THEN CASE WHEN {D.company('o')} THEN 'company' WHEN {D.person('o')} THEN 'person' END
+ WHEN has THEN 'company_with_owner' WHEN {D.company('n')} THEN 'company' WHEN regexp_matches(n, '[,/&@#$%]|\\d') THEN NULL WHEN {D.person('n')} THEN 'person' END"""
+_TARGET = f"""CASE WHEN n = '' THEN n WHEN has AND regexp_matches(i, '(?i)^(dba|d/?b/?a)\\b') THEN CASE WHEN {D.company('o')} THEN o END
+ WHEN has AND regexp_matches(i, '^\\d+$') THEN CASE WHEN {D.company('o')} OR {D.person('o')} THEN o END
+ WHEN has THEN i WHEN {D.company('n')} THEN n WHEN regexp_matches(n, '[,/&@#$%]|\\d') THEN NULL WHEN {D.person('n')} THEN n END"""
+_AUTO = f"""{_SCORED}, nodes AS (SELECT *, brand || '~' || lower(trim(franchisee_name)) AS nk, {D.owner(_n)} AS ok FROM {LOC_SQL}),
+grp AS (SELECT DISTINCT nk, brand || '~' || ok AS gk FROM nodes),
+hop AS (SELECT DISTINCT a.nk AS a, b.nk AS b FROM grp a JOIN grp b ON a.gk = b.gk UNION SELECT x.nk, y.nk FROM scored JOIN nodes x ON x.ord = a_ord JOIN nodes y ON y.ord = b_ord WHERE score >= 96 UNION SELECT y.nk, x.nk FROM scored JOIN nodes x ON x.ord = a_ord JOIN nodes y ON y.ord = b_ord WHERE score >= 96),
+walk AS (WITH RECURSIVE w(a, b) AS (SELECT DISTINCT nk, nk FROM nodes UNION SELECT w.a, hop.b FROM w JOIN hop ON w.b = hop.a) SELECT a, b FROM w),
+low AS (SELECT nk, min(ord) AS o FROM nodes GROUP BY nk), comp AS (SELECT a AS nk, min(o) AS comp FROM walk JOIN low ON b = low.nk GROUP BY a),
+resolved AS (SELECT n.*, c.comp FROM nodes n JOIN comp c USING (nk)), {_MODE.format(key='comp')}, rolled AS ({_ROLL.format(key='comp', addr='raw_address')}), ops AS (SELECT * EXCLUDE (primary_state), coalesce(primary_state, '') AS primary_state FROM rolled LEFT JOIN modes USING (k))"""
+
+
+@query(
+    f"""WITH {_AUTO}, t AS (SELECT *, trim(franchisee_name) AS n FROM ops), p AS (SELECT *, {_inner} AS i, {_outer} AS o, regexp_matches(n, '\\([^)]+\\)') AS has FROM t), d AS (SELECT *, {_CLASSED} AS rule_type, {_TARGET} AS rule_target FROM p)
+SELECT k AS comp, {_SHOWN}, '' AS apollo_company, '' AS apollo_email, '' AS apollo_linkedin, '' AS apollo_title, CASE WHEN total_units BETWEEN 16 AND 200 THEN 'A' WHEN total_units BETWEEN 5 AND 15 THEN 'B' WHEN total_units > 200 THEN 'large' ELSE 'small' END AS tier,
+coalesce(rule_type, 'company') AS entity_type, CASE WHEN rule_type IS NULL THEN 'default' ELSE 'regex' END AS classification_method, coalesce(rule_target, franchisee_name) AS search_target FROM d"""
+)
 def operator_registry(spark, d):
     """The flagship: raw records through resolution, rollup, tiers and classes."""
     ops = directory.registry(locations(spark, d)).withColumn("tier", rollup.tier_of(c("total_units")))
@@ -545,7 +569,14 @@ def j_enriched_florida(spark, d):
     return enrich.enrich(_inputs(spark, d), reg, "fl")
 
 
-@query()
+@query(
+    f"""WITH ask AS (SELECT franchisee_name AS entity_name, min(ord) AS ord FROM {LOC_SQL} GROUP BY 1), reg AS (SELECT firm, norm FROM (SELECT DISTINCT firm, {D.similar('firm')} AS norm FROM {REG_SQL}) WHERE norm <> ''),
+ladder AS (SELECT ord, entity_name, unnest(list_concat([entity_name], {D.variants('entity_name')})) AS query, unnest(range(0, 1 + len({D.variants('entity_name')}))) AS rank FROM ask),
+hits AS (SELECT l.ord, l.entity_name, l.query, l.rank, reg.firm FROM ladder l JOIN reg ON {D.similar('l.query')} = reg.norm), firsts AS (SELECT ord, min(rank) AS rank FROM hits GROUP BY ord),
+lone AS (SELECT ord, entity_name, {D.similar('entity_name')} AS n1 FROM ask WHERE ord NOT IN (SELECT ord FROM firsts))
+SELECT ord, entity_name, firm AS found, query AS label FROM hits JOIN firsts USING (ord, rank)
+UNION ALL SELECT ord, entity_name, firm, 'FUZZY:' || string_split(n1, ' ')[1] FROM lone JOIN reg ON string_split(n1, ' ')[1] = string_split(norm, ' ')[1] AND n1 <> '' WHERE ({D.jaccard('n1', 'norm')}) >= 0.5"""
+)
 def j_fuzzy_fallback(spark, d):
     """Variants first, then records with the same first token."""
     few = registry_rows(spark, d).select("firm").distinct()
