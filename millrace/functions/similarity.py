@@ -119,9 +119,15 @@ def direct_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([contained(x, y, 0.9) for x, y in zip(a, b)], dtype="float64")
 
 
+@F.pandas_udf(T.StringType())
+def py_title(x: pd.Series) -> pd.Series:
+    """Capitals after every character that is no letter, the rest lower-case."""
+    return x.str.title()
+
+
 def register(spark) -> None:
     """Install the functions for SQL."""
-    for f in (token_sort_ratio, token_set_ratio, filing_ratio, direct_ratio):
+    for f in (token_sort_ratio, token_set_ratio, filing_ratio, direct_ratio, py_title):
         spark.udf.register(f.__name__, f)
 
 

@@ -32,8 +32,10 @@ def universal(df: DataFrame, state: str) -> DataFrame:
 
 def code_label(c: Column, table: dict[str, str]) -> Column:
     """The label of a code, or the code itself."""
-    pairs = F.create_map(*(F.lit(x) for kv in table.items() for x in kv))
-    return F.coalesce(pairs[c], c)
+    out = c
+    for code, label in table.items():
+        out = F.when(c == code, label).otherwise(out)
+    return out
 
 
 def true_false(c: Column) -> Column:
@@ -67,9 +69,15 @@ def _match(agent: Column, principal: Column) -> Column:
 def top_officer(officers: Column) -> Column:
     """Name of the first person by title order, then by place; blank without any."""
     people = F.filter(officers, lambda o: o["type"] == "Person")
-    rank = lambda o: F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, OFFICER_ORDER)), o["title_code"]).cast("int"), F.lit(0)), F.lit(99))
-    ranked = F.array_sort(F.transform(people, lambda o, i: F.struct(rank(o).alias("r"), i.alias("i"), o["name"].alias("name"))))
-    return blank(F.get(ranked, F.lit(0))["name"])
+
+    def rank(o: Column) -> Column:
+        out = F.lit(99)
+        for k, code in enumerate(OFFICER_ORDER, 1):
+            out = F.when(o["title_code"] == code, k).otherwise(out)
+        return out
+
+    first = F.array_min(F.transform(people, lambda o, i: F.struct(rank(o).alias("r"), i.alias("i"), o["name"].alias("name"))))
+    return blank(first["name"])
 
 
 def florida(df: DataFrame) -> DataFrame:

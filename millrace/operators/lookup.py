@@ -25,13 +25,17 @@ def match_all(inputs: DataFrame, registry: DataFrame, name: Column) -> DataFrame
 def best_with_alternates(candidates: DataFrame, key: str, score: str, order: str, alternate: dict[str, Column], n: int = 5) -> DataFrame:
     """The best row of each key by score, then order, with ``match_count`` and ``alternates`` (the next n as an array of structs).
 
-    Ranks by one struct and keeps n + 1 rows of a key before anything is gathered.
+    The rank filter keeps n + 1 rows of a key before the shuffle and the count is summed before it, so a key with
+    very many candidates is no single task's; best and alternates are gathered together.
     """
     w = Window.partitionBy(key).orderBy(F.col(score).desc(), order)
     ranked = candidates.withColumn("rn_", F.row_number().over(w)).filter(F.col("rn_") <= n + 1)
     counts = candidates.groupBy(key).agg(F.count("*").alias("match_count"))
-    rest = ranked.filter("rn_ > 1").groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("rn_", *(c.alias(k) for k, c in alternate.items())))), lambda s: F.struct(*(s[k].alias(k) for k in alternate))).alias("alternates"))
-    return ranked.filter("rn_ = 1").drop("rn_").join(counts, key).join(rest, key, "left")
+    body = [c for c in ranked.columns if c not in (key, "rn_")]
+    each = F.struct("rn_", F.struct(*(c.alias(k) for k, c in alternate.items())).alias("alt"))
+    rest = F.transform(F.array_sort(F.collect_list(F.when(F.col("rn_") > 1, each))), lambda s: s["alt"])
+    got = ranked.groupBy(key).agg(F.min_by(F.struct(*body), "rn_").alias("best_"), rest.alias("alternates"))
+    return got.join(counts, key).select(key, "best_.*", "match_count", F.when(F.size("alternates") > 0, F.col("alternates")).alias("alternates"))
 
 
 def complete(inputs: DataFrame, best: DataFrame, key: str = "entity_name") -> DataFrame:
@@ -52,13 +56,13 @@ def fuzzy_fallback(inputs: DataFrame, registry: DataFrame, name: str, threshold:
     return exact.unionByName(near.select("ord", "entity_name", F.col(name).alias("found"), F.concat(F.lit("FUZZY:"), "tok").alias("label")))
 
 
-def first_variant(inputs: DataFrame, found: DataFrame) -> DataFrame:
-    """entity_name, query, attempts: the first query of the ladder that found something, and the queries tried up to it."""
+def first_variant(inputs: DataFrame, found: DataFrame, keep_ord: bool = False) -> DataFrame:
+    """entity_name, query, attempts (and ord): the first query of the ladder that found something, and the queries tried up to it."""
     tried = inputs.select("ord", "entity_name", F.posexplode(F.concat(F.array("entity_name"), name_variants(F.col("entity_name")))).alias("rank", "query"))
     hit = tried.join(found.select("query").distinct().withColumn("hit", F.lit(True)), "query", "left")
     firsts = hit.groupBy("ord", "entity_name").agg(F.min(F.when(F.col("hit"), F.col("rank"))).alias("at"), F.array_sort(F.collect_list(F.struct("rank", "query"))).alias("all"))
     used = F.filter("all", lambda q: F.col("at").isNull() | (q["rank"] <= F.col("at")))
-    return firsts.select("entity_name", F.when(F.col("at").isNotNull(), F.element_at(F.transform("all", lambda q: q["query"]), (F.col("at") + 1).cast("int"))).otherwise(F.lit("")).alias("query"), F.array_join(F.transform(used, lambda q: q["query"]), " | ").alias("attempts"))
+    return firsts.select(*(["ord"] if keep_ord else []), "entity_name", F.when(F.col("at").isNotNull(), F.element_at(F.transform("all", lambda q: q["query"]), (F.col("at") + 1).cast("int"))).otherwise(F.lit("")).alias("query"), F.array_join(F.transform(used, lambda q: q["query"]), " | ").alias("attempts"))
 
 
 def not_done(inputs: DataFrame, done: DataFrame, limit: int | None = None) -> DataFrame:

@@ -96,3 +96,21 @@ def last_lines_hold(lines: DataFrame, marker: str, n: int = 40) -> DataFrame:
     """doc_id, found: one of the last n lines holds the marker."""
     w = Window.partitionBy("doc_id").orderBy(F.col("line_no").desc())
     return lines.withColumn("rn_", F.row_number().over(w)).filter(F.col("rn_") <= n).groupBy("doc_id").agg(F.max(blank(F.col("text")).contains(marker)).alias("found"))
+
+
+def cover_brand(lines: DataFrame, verdicts: DataFrame, brands: DataFrame, n: int = 60) -> DataFrame:
+    """doc_id, brand: what a verdict on the cover says, else the first brand, by name, that the first n lines name; null if none.
+
+    ``verdicts`` (doc_id, brand) are answers of outside knowledge; ``brands`` (name) is the catalogue.
+    """
+    cover = lines.filter(F.col("line_no") < n).select("doc_id", F.lower(blank(F.col("text"))).alias("t"))
+    named = cover.join(brands.select("name"), F.contains("t", F.lower("name"))).groupBy("doc_id").agg(F.min("name").alias("found"))
+    docs = lines.select("doc_id").distinct()
+    said = verdicts.filter(blank(F.col("brand")) != "").groupBy("doc_id").agg(F.min("brand").alias("said"))
+    return docs.join(said, "doc_id", "left").join(named, "doc_id", "left").select("doc_id", F.coalesce("said", "found").alias("brand"))
+
+
+def section_holds(sections: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """sections with ``holds``: the yes or no of a verdict; true where there is none or it is inconclusive."""
+    said = verdicts.groupBy("doc_id").agg(F.min(F.when(F.lower(F.trim("answer")).isin("yes", "no"), F.lower(F.trim("answer")))).alias("said_"))
+    return sections.join(said, "doc_id", "left").withColumn("holds", F.coalesce(F.col("said_") == "yes", F.lit(True))).drop("said_")

@@ -2,8 +2,10 @@
 
 Records carry ``ord`` (a unique long, the order of "first wins") and brand,
 franchisee_name, state. Exact and owner edges are stars around the smallest ord of a
-key, one aggregation each. Candidate pairs are a blocked self-join dealt over
-``chunks`` so that one large brand or state is many tasks.
+key, one aggregation each. Candidate pairs are a blocked self-join: a block of n rows is
+dealt into ceil(n / CHUNK) chunks and each pair of chunks is a key of its own, so a large brand
+or state is many joins of bounded size. The distinct names of a block are scored first, and
+only accepted pairs of names are expanded into pairs of records.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ CROSS_BRAND = 60
 AUTO = 96
 CHEAP = 85
 MIN_CONFIDENCE = 70
+#: Rows of a chunk of a block.
+CHUNK = 2048
 
 
 def _low(c: str) -> Column:
@@ -67,32 +71,48 @@ def brand_audit(records: DataFrame) -> DataFrame:
     )
 
 
-def _pairs(reps: DataFrame, key: str, rule: Column, chunks: int) -> DataFrame:
-    """a_*, b_* with equal key, a_ord < b_ord and the rule."""
-    cols = ["ord", "brand", "franchisee_name", "state"]
-    side = reps.select(*cols, F.col(key).alias("k"))
-    a = side.select(*(F.col(c).alias(f"a_{c}") for c in cols), "k").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    b = side.select(*(F.col(c).alias(f"b_{c}") for c in cols), "k").withColumn("chunk", F.pmod(F.xxhash64("b_ord"), F.lit(chunks)).cast("int"))
-    return a.join(b, ["k", "chunk"]).filter((F.col("a_ord") < F.col("b_ord")) & rule).drop("k", "chunk")
+def _meet(side: DataFrame, cols: list[str], by: str, chunk: int) -> DataFrame:
+    """k, a_*, b_*: every ordered pair of rows with equal ``k`` once; both sides of a block are dealt by the hash of ``by``."""
+    sizes = side.groupBy("k").agg(F.ceil(F.count("*") / chunk).cast("int").alias("chunks"))
+    dealt = side.join(sizes, "k").withColumn("mine", F.pmod(F.xxhash64(by), F.col("chunks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    a = dealt.select("k", F.col("mine").alias("i"), F.col("other").alias("j"), *(F.col(c).alias(f"a_{c}") for c in cols))
+    b = dealt.select("k", F.col("other").alias("i"), F.col("mine").alias("j"), *(F.col(c).alias(f"b_{c}") for c in cols))
+    return a.join(b, ["k", "i", "j"]).drop("i", "j")
 
 
-def blocked_pairs(reps: DataFrame, chunks: int = 8) -> DataFrame:
-    """Pairs that blocking lets through: same brand with agreeing or blank states, and other brand with the same state."""
+_COLS = ["ord", "brand", "franchisee_name", "state"]
+
+
+def _scopes(reps: DataFrame) -> list[tuple[str, DataFrame, Column]]:
+    """Scope, records with block ``k``, and what else pairs of a block need: same brand with agreeing or blank states, other brand with the same state."""
     sa, sb = _state("a_state"), _state("b_state")
-    same = _pairs(reps, "brand", (sa == sb) | (sa == "") | (sb == ""), chunks).withColumn("scope", F.lit("same_brand"))
-    stated = reps.withColumn("s_", _state("state")).filter("s_ <> ''")
-    return same.unionByName(_pairs(stated, "s_", F.col("a_brand") != F.col("b_brand"), chunks).withColumn("scope", F.lit("cross_brand")))
+    return [
+        ("same_brand", reps.select(*_COLS, F.col("brand").alias("k")), (sa == sb) | (sa == "") | (sb == "")),
+        ("cross_brand", reps.select(*_COLS, _state("state").alias("k")).filter("k <> ''"), F.col("a_brand") != F.col("b_brand")),
+    ]
+
+
+def blocked_pairs(reps: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """Pairs that blocking lets through, a_ord < b_ord."""
+    same, cross = (_meet(side, _COLS, "ord", chunk).filter((F.col("a_ord") < F.col("b_ord")) & rule).drop("k").withColumn("scope", F.lit(scope)) for scope, side, rule in _scopes(reps))
+    return same.unionByName(cross)
 
 
-def candidate_pairs(reps: DataFrame, same: int = SAME_BRAND, cross: int = CROSS_BRAND, chunks: int = 8) -> DataFrame:
+def candidate_pairs(reps: DataFrame, same: int = SAME_BRAND, cross: int = CROSS_BRAND, chunk: int = CHUNK) -> DataFrame:
     """Blocked pairs at or above their threshold, with ``score``: word-set ratio within a brand, sorted-word ratio across."""
-    pairs = blocked_pairs(reps, chunks)
-    # Names are far fewer than pairs: each distinct pair of names is scored once.
-    names = pairs.select("scope", "a_franchisee_name", "b_franchisee_name").distinct()
-    a, b = F.col("a_franchisee_name"), F.col("b_franchisee_name")
-    set_scored = names.filter("scope = 'same_brand'").withColumn("score", token_set_ratio(a, b)).filter(F.col("score") >= same)
-    sort_scored = names.filter("scope = 'cross_brand'").withColumn("score", token_sort_ratio(a, b)).filter(F.col("score") >= cross)
-    return pairs.join(set_scored.unionByName(sort_scored), ["scope", "a_franchisee_name", "b_franchisee_name"])
+    found = []
+    for (scope, side, rule), ratio, least in zip(_scopes(reps), (token_set_ratio, token_sort_ratio), (same, cross)):
+        names = side.select("k", F.col("franchisee_name").alias("name")).distinct()
+        pairs = _meet(names, ["name"], "name", chunk).filter("a_name <= b_name")
+        good = pairs.withColumn("score", ratio("a_name", "b_name")).filter(F.col("score") >= least)
+        half = lambda s: side.select(F.col("k"), F.col("franchisee_name").alias(f"{s}_name"), *(F.col(c).alias(f"{s}_{c}") for c in _COLS))  # noqa: E731, B023
+        both = good.join(half("a"), ["k", "a_name"]).join(half("b"), ["k", "b_name"])
+        # Names are in order, records may not be; two records of one name meet twice.
+        both = both.filter(rule & (F.col("a_ord") != F.col("b_ord")) & ((F.col("a_name") != F.col("b_name")) | (F.col("a_ord") < F.col("b_ord"))))
+        turn = F.col("a_ord") < F.col("b_ord")
+        sides = [F.when(turn, F.col(f"{x}_{c}")).otherwise(F.col(f"{y}_{c}")).alias(f"{x}_{c}") for x, y in (("a", "b"), ("b", "a")) for c in _COLS]
+        found.append(both.select(F.lit(scope).alias("scope"), *sides, "score"))
+    return found[0].unionByName(found[1])
 
 
 def pair_keys(pairs: DataFrame) -> DataFrame:

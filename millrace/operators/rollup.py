@@ -77,6 +77,13 @@ def icp_rows(ops: DataFrame, sequences: dict[str, str] = SEQUENCES, messaging: d
     return out.select("franchisee_name", "name_variants", first_name(F.col("franchisee_name")).alias("first_name"), "total_units", "brands_operated", "brand_count", "is_multi_brand", "primary_state", "all_states", "tier", pick(sequences).alias("instantly_sequence"), pick(messaging).alias("messaging_note"), hint.alias("apollo_search_hint"), *(F.lit("").alias(c) for c in CONTACT_COLUMNS), "restaurant_phone", "sample_address")
 
 
+def by_shape(names: DataFrame, name: str) -> DataFrame:
+    """Names and spellings by kind: blank (counted as company), with parentheses, plain."""
+    n = F.trim(F.col(name))
+    shaped = names.select(n.alias("n"), F.when(n == "", "company").when(n.contains("("), "paren").otherwise("plain").alias("shape"))
+    return shaped.groupBy("shape").agg(F.count("*").alias("names"), F.countDistinct(F.lower("n")).alias("spellings"))
+
+
 def histogram(ops: DataFrame) -> DataFrame:
     """Operators and multi-brand operators by size bucket."""
     n = F.col("total_units")

@@ -41,21 +41,30 @@ def best_matches(inputs: DataFrame, registry: DataFrame, state: str) -> DataFram
     # The match table is kept: ranking, counting and alternates all read it.
     scored = found.withColumn("score", score).withColumn("name_similarity", name_similarity(_c("entity_name"), label)).withColumn("label_", label).withColumn("num_", number)
     scored = cut(scored)
-    alternate = {"name": _c("label_"), "num": _c("num_"), **({"status": _c("status")} if state in ("fl", "ca") else {}), "score": F.round("score", 2)}
+    alternate = {"name": _c("label_"), "num": _c("num_"), **({"status": _c("status")} if state in ("fl", "ca") else {}), "score": F.bround("score", 2)}
     return best_with_alternates(scored, "entity_name", "score", order, alternate).drop("label_", "num_", "norm", "rank")
 
 
-def enrich(inputs: DataFrame, registry: DataFrame, state: str, prefixed: bool = True) -> DataFrame:
-    """inputs (ord, entity_name, optionally entity_type) with the universal columns; persons in Texas are not looked up."""
+def enrich(inputs: DataFrame, registry: DataFrame, state: str, prefixed: bool = True, fetched_at: Column | str = "") -> DataFrame:
+    """inputs (ord, entity_name, optionally entity_type) with the universal columns; persons in Texas are not looked up.
+
+    ``fetched_at`` marks when: a fixed text, or utc_now() for the query's own time.
+    """
     best = BUILD[state](best_matches(inputs, registry, state))
     rows = shared_signals(cut(complete(inputs.select("ord", "entity_name"), best)), "ca" if state == "ca" else "flag")
     rows = rows.withColumn("alternates", F.coalesce(F.to_json("alternates"), F.lit(""))).withColumn("query_attempts", _c("query_used"))
+    rows = rows.withColumn("fetched_at", F.lit(fetched_at) if isinstance(fetched_at, str) else fetched_at)
     if not prefixed:
         return rows
     out = universal(rows, state)
     return out.select("ord", "entity_name", *(n for n in out.columns if n.startswith(PREFIX[state])))
 
 
+def utc_now() -> Column:
+    """The query's time in UTC, to the second, as ISO text."""
+    return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+
+
 def without_persons(inputs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Inputs to look up, and persons, which only get a stub row."""
     person = F.lower(blank(_c("entity_type"))) == "person"

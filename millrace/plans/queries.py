@@ -470,7 +470,8 @@ def fixed_width_lines(r: DataFrame) -> DataFrame:
     parts = [f(x, n) for x, n in [*head, *slot(c("title"), kind, c("officer")), *slot("P", "P", c("last"))]]
     line = F.rpad(F.concat(*parts), 1440, " ")
     # Landed once, as files of such lines would be; otherwise every field would build the whole line again.
-    return cut(r.select("rid", F.when(c("rid") % 41 == 0, F.substring(line, 1, 1200)).otherwise(line).alias("value")))
+    lines = r.repartition(r.sparkSession.sparkContext.defaultParallelism, "rid")  # a small sample file is one partition
+    return cut(lines.select("rid", F.when(c("rid") % 41 == 0, F.substring(line, 1, 1200)).otherwise(line).alias("value")))
 
 
 _OFF = "CASE WHEN officer <> '' AND officer NOT LIKE '%LLC%' THEN CASE WHEN last <> '' AND title <> 'P' THEN last ELSE officer END ELSE last END"
@@ -676,8 +677,7 @@ def ag_file_summary(spark, d):
 )
 def ag_by_shape(spark, d):
     """AG7: counts by kind of name."""
-    n = F.trim(_n)
-    return locations(spark, d).select(n.alias("n"), F.when(n == "", "company").when(n.contains("("), "paren").otherwise("plain").alias("shape")).groupBy("shape").agg(F.count("*").alias("names"), F.countDistinct(F.lower("n")).alias("spellings"))
+    return rollup.by_shape(locations(spark, d), _n)
 
 
 # ---- sets, sinks, catalogue, filings ----------------------------------------

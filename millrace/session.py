@@ -26,10 +26,12 @@ def build(app: str = "millrace", cores: int | str = 8, shuffle: int = 8, driver_
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder: the cluster's ``spark.checkpoint.dir``, or a temporary one where unset (tests)."""
+    """The shared checkpoint folder: the cluster's ``spark.checkpoint.dir``, or, on a local master only, a temporary one."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if sc._jsc.sc().getCheckpointDir().isEmpty():
+        if not named and not (sc.master.startswith("local") and not sc.master.startswith("local-cluster")):
+            raise ValueError("spark.checkpoint.dir is not set: a cluster needs a folder that all its machines share")
         sc.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "millrace-checkpoints"))
     return named or sc._jsc.sc().getCheckpointDir().get()
 

@@ -31,15 +31,20 @@ def cordata(lines: DataFrame, value: str = "value") -> DataFrame:
     """Fixed-width records: trimmed fields, status, officers (blank names dropped). Short lines go; other columns stay."""
     at = lambda start, n: F.trim(F.substring(F.col(value), start + 1, n))
 
-    def officer(k: int) -> Column:
-        f = {n: at(OFFICERS_AT + k * OFFICER_WIDTH + s, w) for n, (s, w) in OFFICER.items()}
+    # The officers' block is cut once, blank names go before anything is built.
+    block = F.substring(F.col(value), OFFICERS_AT + 1, OFFICER_WIDTH * OFFICER_SLOTS)
+    slots = F.array(*(F.substring("officers_", k * OFFICER_WIDTH + 1, OFFICER_WIDTH) for k in range(OFFICER_SLOTS)))
+
+    def officer(slot: Column) -> Column:
+        f = {n: F.trim(F.substring(slot, s + 1, w)) for n, (s, w) in OFFICER.items()}
         kind = F.when(f["type_code"] == "P", "Person").when(f["type_code"] == "C", "Corporation").otherwise(f["type_code"])
         return F.struct(f["title_code"].alias("title_code"), code_label(f["title_code"], OFFICER_TITLES).alias("title"), kind.alias("type"), *(f[n].alias(n) for n in ("name", "addr", "city", "state", "zip")))
 
-    officers = F.filter(F.array(*map(officer, range(OFFICER_SLOTS))), lambda o: o["name"] != "")
+    start, width = OFFICER["name"]
+    officers = F.transform(F.filter(slots, lambda s: F.trim(F.substring(s, start + 1, width)) != ""), officer)
     fields = {n: at(s, w) for n, (s, w) in CORDATA.items()}
     rest = [c for c in lines.columns if c != value]
-    out = lines.filter(F.length(value) >= LEAST_WIDTH).select(*rest, *(c.alias(n) for n, c in fields.items()), officers.alias("officers"))
+    out = lines.filter(F.length(value) >= LEAST_WIDTH).withColumn("officers_", block).select(*rest, *(c.alias(n) for n, c in fields.items()), officers.alias("officers"))
     return out.withColumn("status", F.when(F.col("status_code") == "A", "Active").otherwise("Inactive")).withColumn("more_than_six_officers", F.col("more_officers") == "Y").drop("status_code", "more_officers")
 
 
@@ -48,6 +53,56 @@ def read_cordata(spark: SparkSession, path: str) -> DataFrame:
     return cordata(spark.read.option("encoding", "ISO-8859-1").text(path))
 
 
+def zip_shards(spark: SparkSession, path: str) -> DataFrame:
+    """path, member: the text members of zip files, by name; one task a file, of the listing only."""
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+
+    def run(batches):
+        import io
+        import zipfile
+
+        import pandas as pd
+
+        for batch in batches:
+            rows = [(p, m) for p, c in zip(batch["path"], batch["content"]) for m in sorted(zipfile.ZipFile(io.BytesIO(c)).namelist()) if m.lower().endswith(".txt")]
+            yield pd.DataFrame(rows, columns=["path", "member"])
+
+    return files.mapInPandas(run, "path string, member string")
+
+
+def read_zip_lines(spark: SparkSession, path: str, encoding: str = "latin-1", rows: int = 20_000) -> DataFrame:
+    """path, member, line_no, value: lines of the text members of zip files.
+
+    Each member is a task of its own, which opens the file through Spark's reader and inflates its member
+    as a stream; only ``rows`` lines are held at a time. Compression methods beyond the standard ones need
+    the files unpacked first.
+    """
+    members = zip_shards(spark, path)
+    content = spark.read.format("binaryFile").load(path).select("path", "content")
+    many = max(members.count(), 1)
+
+    def run(batches):
+        import io
+        import zipfile
+
+        import pandas as pd
+
+        for batch in batches:
+            for p, m, c in zip(batch["path"], batch["member"], batch["content"]):
+                with zipfile.ZipFile(io.BytesIO(c)).open(m) as f:
+                    held: list[str] = []
+                    at = 0
+                    for line in io.TextIOWrapper(f, encoding=encoding, newline="\n"):
+                        held.append(line.rstrip("\r\n"))
+                        if len(held) == rows:
+                            yield pd.DataFrame({"path": p, "member": m, "line_no": range(at, at + rows), "value": held})
+                            at, held = at + rows, []
+                    if held:
+                        yield pd.DataFrame({"path": p, "member": m, "line_no": range(at, at + len(held)), "value": held})
+
+    return members.join(content, "path").repartition(min(many, 10_000), "path", "member").select("path", "member", "content").mapInPandas(run, "path string, member string, line_no long, value string")
+
+
 def read_registry_csv(spark: SparkSession, path: str, required: str | None = None, header_names: bool = True) -> DataFrame:
     """A CSV as strings with blank missing values; headers as lower-case names; a missing required column is an error."""
     df = spark.read.csv(path, header=True, multiLine=False, inferSchema=False, encoding="UTF-8")
