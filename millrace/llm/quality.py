@@ -142,11 +142,9 @@ def _sums(rows: DataFrame, make, size: int) -> np.ndarray:
                 total += make(stats, np.asarray(batch.column(1), np.float64), np.asarray(batch.column(2), np.int64))
         yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([total.tolist()], pa.list_(pa.float64()))], ["g", "v"])
 
-    def meet(key, batches):
-        total = np.zeros(size)
-        for batch in batches:  # one sum at a time
-            total += np.asarray(batch.column("v").flatten()).reshape(batch.num_rows, size).sum(axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tolist()], pa.list_(pa.float64()))], ["g", "v"])
+    def meet(table: pa.Table) -> pa.Table:
+        v = np.asarray(table.column("v").combine_chunks().flatten()).reshape(table.num_rows, size).sum(axis=0)
+        return pa.table({"g": pa.array([table.column("g")[0].as_py()], pa.int32()), "v": pa.array([v.tolist()], pa.list_(pa.float64()))})
 
     met, many = rows.select("stats", "y", "fold").mapInArrow(part, "g int, v array<double>"), rows.rdd.getNumPartitions()
     while many > MEET:

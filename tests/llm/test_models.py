@@ -92,3 +92,70 @@ def test_features_approximate_the_kernel():
     width2 = 1 / model.w.var()
     exact = np.exp(-((u[:, None] - u[None]) ** 2).sum(axis=2) / 2 / width2)
     assert np.abs(z @ z.T - exact).max() < 0.08
+
+
+def test_sums_of_many_partitions_meet_in_levels(spark, monkeypatch):
+    monkeypatch.setattr(quality, "MEET", 3)
+    rows = spark.range(200).selectExpr(f"transform(sequence(1, {quality.N_STATS}), x -> cast(id + x as float)) AS stats", "cast(id % 2 as double) AS y", "id % 4 AS fold").repartition(29)
+    got = quality._sums(rows, lambda x, y, fold: np.array([len(x), y.sum(), x[:, 0].sum(), fold.sum()], float), 4)
+    assert got.tolist() == [200, 100, sum(range(1, 201)), 300]
+
+
+def test_scores_equal_one_plain_process(spark):
+    """The distributed sums give the ridge weights and the isotonic curve of a plain computation over all rows."""
+    rows = corpus(200)
+    docs = spark.createDataFrame([(i, t) for i, t, _, _ in rows], "doc_id long, text string").repartition(7)
+    labels = spark.createDataFrame([(i, q, 0) for i, _, _, q in rows], "doc_id long, quality int, toxic int")
+    model = quality.fit(quality.stats_of(docs), labels)
+    fold = {r["doc_id"]: r["f"] for r in docs.selectExpr("doc_id", f"pmod(xxhash64(doc_id), {quality.FOLDS}) AS f").collect()}
+    train = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    x = np.array([quality.statistics(t.encode()) for _, t, _, _ in train], np.float32)
+    y, f = np.array([q for _, _, _, q in train], float), np.array([fold[i] for i, _, _, _ in train])
+    assert np.allclose(model.mean, x.astype(float).mean(axis=0), rtol=1e-5)
+    z, d = model.features(x), quality.FEATURES + 1
+    raw = np.zeros(len(y))
+    for k in [*range(quality.FOLDS), None]:
+        own = np.ones(len(y), bool) if k is None else f != k
+        penalty = quality.RIDGE * own.sum() / quality.FEATURES * np.diag([*[1.0] * (d - 1), 0.0]) + 1e-9 * np.eye(d)
+        w = np.linalg.solve(z[own].T @ z[own] + penalty, z[own].T @ y[own])
+        assert np.allclose(z @ w, z @ model.weights[quality.FOLDS if k is None else k], atol=1e-5)
+        if k is not None:
+            raw[f == k] = z[f == k] @ w
+    at = np.clip(((raw + 0.5) / 2 * quality.BINS).astype(int), 0, quality.BINS - 1)
+    means, ones, count = (np.array([v[at == b].sum() for b in range(quality.BINS)]) for v in (raw, y, np.ones(len(y))))
+    cuts, values = quality.isotonic(means / np.maximum(count, 1), ones, count)
+    assert np.allclose(cuts, model.cuts, atol=1e-4) and np.allclose(values, model.values, atol=1e-4)
+
+
+def test_network_equals_a_plain_loop():
+    """States and probabilities at every byte, one byte and one unit at a time."""
+    net = langid.Network(["a", "b", "c"], hidden=4, seed=9)
+    text = "Größe, élan 12".encode()
+    soft = lambda v: v / (1 + abs(v))
+
+    def states(d, order):
+        h, out = np.zeros(4), {}
+        for t in order:
+            p, b = net.p, text[t]
+            z = 0.5 * (1 + soft(p[f"Wz{d}"][b] + h @ p[f"Uz{d}"]))
+            r = 0.5 * (1 + soft(p[f"Wr{d}"][b] + h @ p[f"Ur{d}"]))
+            n = soft(p[f"Wn{d}"][b] + r * (h @ p[f"Un{d}"]))
+            h = n + z * (h - n)
+            out[t] = h
+        return out
+
+    fore, back = states("f", range(len(text))), states("b", range(len(text) - 1, -1, -1))
+    logits = np.array([fore[t] @ net.p["Vf"] + back[t] @ net.p["Vb"] + net.p["c"] for t in range(len(text))])
+    want = np.exp(logits) / np.exp(logits).sum(axis=1, keepdims=True)
+    got = net.probabilities(np.frombuffer(text, np.uint8).astype(np.intp)[:, None])[:, :, 0].T
+    assert np.allclose(got, want, atol=1e-5)
+
+
+def test_every_language_is_learned(spark):
+    """More languages than any former bound: each is in the sample and in the network."""
+    rows = [(i, f"text {i} in tongue {i % 1100} of letters", f"l{i % 1100:04d}") for i in range(3300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    train = {lang for i, _, lang in rows if zlib.crc32(str(i).encode()) % 3 != 1}
+    net = langid.fit(docs, steps=2)
+    assert set(net.langs) == train and len(train) > 1024
+    assert langid.pooled(net, [b"abc " * 700, b"x"])[0].shape == (2, len(train))
