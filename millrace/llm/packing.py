@@ -31,7 +31,7 @@ CAPACITY = 2048
 #: Chunks kept by a worker; rarer ones are encoded again.
 CACHE_ROWS = 900_000
 #: Pieces of one length are ranked in cells of about so many.
-CELL_ROWS = 32_768
+CELL_ROWS = 4_096
 
 PIECES = "piece int, start long, length long, ids_crc32 long"
 
