@@ -4,6 +4,9 @@ A list (rows with the same key) of n rows is dealt by hash into c = ceil(n / blo
 chunks; each unordered pair of chunks is one unit of work of about 2 * block rows, so
 a hot list is many tasks of bounded size and every pair of its rows still meets once.
 Singleton lists go, since they hold no pair.
+
+Where only a spanning forest is wanted, ``spanning`` leaves out pairs that other links already
+connect: the work of a hot list of like rows grows with its rows, not with their square.
 """
 
 from __future__ import annotations
@@ -15,8 +18,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.components import connected_components
+from ..session import cut
+
 #: Rows of one chunk of a list.
 BLOCK = 2048
+#: One row in so many times the chunks of a list meets all of its chunks first.
+LEADERS = 32
 
 
 def units(posts: DataFrame, key: list[str], row_hash: Column, block: int = BLOCK, weight: Column | None = None, weight_most: int = 1) -> DataFrame:
@@ -78,6 +86,41 @@ def by_unit(dealt: DataFrame, work: Callable[[dict[str, np.ndarray]], Iterator[p
     return ordered.mapInArrow(run, schema)
 
 
+def spanning(posts: DataFrame, key: list[str], node: str, work: Callable, kind: str, columns: list[str], block: int = BLOCK, weight: Column | None = None, weight_most: int = 1, most_bytes: int = 1 << 62) -> DataFrame:
+    """a, b: links that connect the same rows as all links of all lists; ``work`` tells a forest of each unit's links.
+
+    First each chunk meets itself and the list's leaders, a few rows drawn by hash. Of a list of
+    several chunks, the rows of the component that holds most of them are then done with each
+    other; they meet the other rows, and those meet each other, in blocks. ``posts`` is read
+    several times, so its lineage should be cut.
+    """
+    weigh = F.lit(0) if weight is None else weight
+    chunks = lambda n, w: F.ceil(F.greatest(n / block, w / weight_most) if weight is not None else n / block).cast("int")
+    sizes = posts.groupBy(*key).agg(F.count("*").alias("rows_"), F.sum(weigh).alias("weight_")).filter("rows_ > 1")
+    sizes = cut(sizes.select(*key, chunks(F.col("rows_"), F.col("weight_")).alias("chunks_")))
+    place = F.xxhash64(node)
+    own = F.pmod(place, F.col("chunks_")).cast("int")
+    leads = (F.col("chunks_") > 1) & (F.pmod(F.xxhash64(node, F.lit("leader")), LEADERS * F.col("chunks_")) == 0)
+    first = posts.join(sizes, key).withColumn("mine_", F.explode(F.when(leads, F.sequence(F.lit(0), F.col("chunks_") - 1)).otherwise(F.array(own))))
+    first = first.drop("chunks_").withColumn("i_", F.col("mine_")).withColumn("j_", F.col("mine_")).withColumn("unit_", F.xxhash64(*key, "i_", "j_"))
+    met = cut(by_unit(first, work, f"a {kind}, b {kind}", columns, key, most_bytes))
+    large = sizes.filter("chunks_ > 1").select(*key)
+    if large.isEmpty():
+        return met
+    found = connected_components(met, "a", "b").select(F.col("node").alias(node), F.col("component").alias("found_"))
+    rows = cut(posts.join(large, key).join(found, node, "left").withColumn("found_", F.coalesce("found_", node)))
+    parts = rows.groupBy(*key, "found_").agg(F.count("*").alias("rows_"), F.sum(weigh).alias("weight_"))
+    main = F.max(F.struct("rows_", "found_", "weight_"))
+    lists = parts.groupBy(*key).agg(main.alias("m_"), F.sum("rows_").alias("rows_"), F.sum("weight_").alias("weight_")).filter("rows_ > m_.rows_")
+    lists = lists.select(*key, F.col("m_.found_").alias("main_"), chunks(F.col("m_.rows_"), F.col("m_.weight_")).alias("mains_"), F.greatest(F.lit(1), chunks(F.col("rows_") - F.col("m_.rows_"), F.col("weight_") - F.col("m_.weight_"))).alias("others_"))
+    dealt = rows.join(lists, key).withColumn("in_", F.col("found_") == F.col("main_"))
+    dealt = dealt.withColumn("mine_", F.when(F.col("in_"), F.pmod(place, F.col("mains_"))).otherwise(F.col("mains_") + F.pmod(place, F.col("others_"))).cast("int"))
+    other = F.explode(F.sequence(F.when(F.col("in_"), F.col("mains_")).otherwise(F.lit(0)), F.col("mains_") + F.col("others_") - 1))
+    dealt = dealt.withColumn("other_", other).withColumn("i_", F.least("mine_", "other_")).withColumn("j_", F.greatest("mine_", "other_"))
+    dealt = dealt.withColumn("unit_", F.xxhash64(*key, "i_", "j_"))
+    return met.unionAll(by_unit(dealt, work, f"a {kind}, b {kind}", columns, key, most_bytes))
+
+
 def groups_of(group: np.ndarray) -> list[tuple[int, int]]:
     """Start and end of each run."""
     if not len(group):
