@@ -8,8 +8,8 @@ S(3,4,8): every 5 of 8 positions contain at least one block whole, so each linke
 meets in a list, and lists stay short (a 2**32nd of the rows by chance). In a list,
 shared positional bytes are tallied per pair, pairs with fewer than 5 are discarded,
 and the rest verified by Hamming distance. Equal fingerprints are one posting. Lists
-are joined in bounded blocks (blocks.py), and only a spanning forest of their links
-leaves a block; connected components then give the classes, losing no link's effect.
+are joined in bounded blocks (blocks.py), but for pairs that links already connect, and only
+a spanning forest of their links leaves a block; connected components then give the classes, losing no link's effect.
 
 Defined results: null text or no word has fingerprint zero and links like any other;
 null ids have their own rows and the class of their fingerprint; an empty table gives
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
 from ..session import cut
-from .blocks import by_unit, forest, groups_of, units
+from .blocks import BLOCK, forest, groups_of, spanning
 from .common import small_batches, text_bytes
 
 SHINGLE = 3
@@ -103,7 +103,7 @@ def _links(rows: dict[str, np.ndarray], bits: int) -> tuple[np.ndarray, np.ndarr
     return np.array(out_a, np.uint64).view(np.int64), np.array(out_b, np.uint64).view(np.int64)
 
 
-def fingerprint_links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
+def fingerprint_links(distinct: DataFrame, bits: int = BITS, block: int = BLOCK) -> DataFrame:
     """``a``, ``b``: links among distinct fingerprints ``fp`` that connect every pair within ``bits``."""
     byte = lambda p: F.shiftrightunsigned("fp", 8 * p).bitwiseAND(F.lit(255))
     packed = lambda ps: sum((F.shiftleft(byte(p), 8 * n) for n, p in enumerate(ps)), F.lit(0).cast("long"))
@@ -115,7 +115,7 @@ def fingerprint_links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
         if len(a):
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    return by_unit(units(posts, ["k", "v"], F.xxhash64("fp")), work, "a long, b long", ["fp"], ["k", "v"])
+    return spanning(posts, ["k", "v"], "fp", work, "long", ["fp"], block)
 
 
 def near_duplicates(docs: DataFrame, bits: int = BITS, width: int = SHINGLE, seed: int = SEED) -> DataFrame:

@@ -74,24 +74,19 @@ def test_chains_in_lists_of_many_chunks(spark):
             prints.add(x)
     fps = sorted(prints | {int(v) for v in rng.integers(0, 2**63, 200, dtype=np.uint64)})
     df = spark.createDataFrame([(int(np.uint64(f).astype(np.int64)),) for f in fps], "fp long")
-    old, blocks.BLOCK = blocks.BLOCK, 2048
-    try:
-        edges = [(r["a"], r["b"]) for r in simhash.fingerprint_links(df).collect()]
-    finally:
-        blocks.BLOCK = old
     at = {int(np.uint64(f).astype(np.int64)): i for i, f in enumerate(fps)}
-    root = list(range(len(fps)))
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    for a, b in edges:
-        assert bin((a ^ b) & (2**64 - 1)).count("1") <= 64
-        x, y = find(at[a]), find(at[b])
-        root[max(x, y)] = min(x, y)
-    assert [find(i) for i in range(len(fps))] == plain_classes(fps)
+    for block in (4, 2048):
+        root = list(range(len(fps)))
+
+        def find(i):
+            while root[i] != i:
+                i = root[i]
+            return i
+
+        for r in simhash.fingerprint_links(df, block=block).collect():
+            x, y = find(at[r["a"]]), find(at[r["b"]])
+            root[max(x, y)] = min(x, y)
+        assert [find(i) for i in range(len(fps))] == plain_classes(fps)
 
 
 def test_units_meet_every_pair_once(spark):
