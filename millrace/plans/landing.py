@@ -189,7 +189,7 @@ def sk_versions(spark, d):
     loc = locations(spark, d)
     sinks.upsert(spark, loc.filter("ord % 2 = 0"), path, "v1")
     sinks.upsert(spark, loc.filter("ord % 2 = 1"), path, "v2")
-    n = lambda v: spark.read.parquet(f"{path}/{v}").agg(F.count("*").alias("n")).select(F.lit(v).alias("version"), "n")
+    n = lambda v: sinks.read_version(spark, path, v).agg(F.count("*").alias("n")).select(F.lit(v).alias("version"), "n")
     return n("v1").unionByName(n("v2"))
 
 
@@ -200,7 +200,7 @@ def sr_overlap(spark, d):
     loc = locations(spark, d).select("ord", "brand", _n, "raw_address", "city", "zip").withColumns({"brand": F.lit("b"), "city": F.lit("c"), "zip": F.lit("z")})
     loc.unionByName(loc.filter("ord % 4 = 0")).write.parquet(inbox)
     incremental.ingest(incremental.new_records(spark, inbox, loc.schema.simpleString()[7:-1].replace(":", " "), "parquet"), table, marks).awaitTermination()
-    return spark.read.parquet(f"{table}/*").select(F.lower(F.trim(_n)).alias(_n), F.lower(F.trim("raw_address")).alias("raw_address"), "ord")
+    return sinks.read_version(spark, table).select(F.lower(F.trim(_n)).alias(_n), F.lower(F.trim("raw_address")).alias("raw_address"), "ord")
 
 
 @query("SELECT source, count(*) AS total, count(*) FILTER (doc_id % 3 = 0) AS finished, round(count(*) FILTER (doc_id % 3 = 0) / count(*), 4) AS share FROM documents GROUP BY source")

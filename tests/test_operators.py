@@ -114,6 +114,14 @@ def test_sources_and_sinks(spark, raw, tmp_path):
     more = raw.filter("ord = 1").unionByName(raw.filter("ord = 2").withColumn("raw_address", F.lit("new")))
     assert sinks.upsert(spark, more, f"{folder}/t", "v2") == 1
     assert sinks.upsert(spark, more, f"{folder}/t", "v2") == 1  # again from the version before
+    assert sinks.read_version(spark, f"{folder}/t", "v1").count() == 6 and sinks.read_version(spark, f"{folder}/t").count() == 7
+    # Two keys touch two buckets at most; the others stay in the version before.
+    assert len(list((tmp_path / "t/data/v2").glob("bucket_=*"))) <= 2 < len(list((tmp_path / "t/data/v1").glob("bucket_=*")))
+    with pytest.raises(ValueError, match="older"):
+        sinks.upsert(spark, more, f"{folder}/t", "v1")
+    assert sinks.upsert(spark, raw.limit(0), f"{folder}/empty", "v1") == 0 and sinks.read_version(spark, f"{folder}/empty").columns == raw.columns
+    with pytest.raises(ValueError, match="no version"):
+        sinks.read_version(spark, f"{folder}/none")
 
 
 def test_pdf_pages(spark, tmp_path):
@@ -134,8 +142,7 @@ def test_stream(spark, tmp_path):
 
     arrive(rows)
     arrive([(4, "A", "Y", "2 st", "c", "1"), (5, "A", "z", "3 st", "c", "1")])
-    newest = sorted(p.name for p in (tmp_path / "table").iterdir())[-1]
-    assert sorted(r["ord"] for r in spark.read.parquet(f"{table}/{newest}").collect()) == [1, 3, 5]
+    assert sorted(r["ord"] for r in sinks.read_version(spark, table).collect()) == [1, 3, 5]
     assert incremental.distinct_locations(spark.createDataFrame(rows, schema)).count() == 2
 
 
