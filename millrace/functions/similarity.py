@@ -140,7 +140,12 @@ def _outside(is_out: Column, name: Column, state: str) -> Column:
     return F.when(is_out & ~blank(name).rlike(OUT_OF_STATE[state]), F.lit(-30.0)).otherwise(F.lit(0.0))
 
 
-def score_ca(name: Column, found: Column, status: Column, entity_type: Column, jurisdiction: Column, formed: Column) -> Column:
+def _similarity(name: Column, found: Column, known: Column | None) -> Column:
+    """The similarity of the names, unless the caller has it."""
+    return name_similarity(name, found) if known is None else known
+
+
+def score_ca(name: Column, found: Column, status: Column, entity_type: Column, jurisdiction: Column, formed: Column, similarity: Column | None = None) -> Column:
     """California: status, similarity, out of state, recency."""
     s = F.lower(blank(status))
     gone = F.lit(False)
@@ -149,28 +154,28 @@ def score_ca(name: Column, found: Column, status: Column, entity_type: Column, j
     base = F.when(s.contains("active"), 100.0).when(s.contains("suspended"), 20.0).when(s.contains("forfeited"), -50.0).when(gone, -100.0).otherwise(0.0)
     j = F.lower(blank(jurisdiction))
     out = F.lower(blank(entity_type)).contains("out of state") | ((j != "") & ~j.contains("california"))
-    return base + name_similarity(name, found) * 100 + _outside(out, name, "ca") + _recency(F.try_to_date(formed, "MM/dd/yyyy"))
+    return base + _similarity(name, found, similarity) * 100 + _outside(out, name, "ca") + _recency(F.try_to_date(formed, "MM/dd/yyyy"))
 
 
-def score_fl(name: Column, found: Column, status: Column, filing_type: Column) -> Column:
+def score_fl(name: Column, found: Column, status: Column, filing_type: Column, similarity: Column | None = None) -> Column:
     """Florida: status, similarity, foreign filing. Its dates are month first, so no recency applies."""
-    return F.when(status == "Active", 100.0).otherwise(-50.0) + name_similarity(name, found) * 100 + _outside(blank(filing_type).startswith("FOR"), name, "fl")
+    return F.when(status == "Active", 100.0).otherwise(-50.0) + _similarity(name, found, similarity) * 100 + _outside(blank(filing_type).startswith("FOR"), name, "fl")
 
 
-def score_ny(name: Column, found: Column, jurisdiction: Column, filed: Column) -> Column:
+def score_ny(name: Column, found: Column, jurisdiction: Column, filed: Column, similarity: Column | None = None) -> Column:
     """New York: all records are active; similarity, jurisdiction, recency."""
     j = F.lower(blank(jurisdiction))
-    return 100.0 + name_similarity(name, found) * 100 + _outside((j != "") & ~j.contains("new york"), name, "ny") + _recency(F.try_to_date(F.substring(filed, 1, 10), "yyyy-MM-dd"))
+    return 100.0 + _similarity(name, found, similarity) * 100 + _outside((j != "") & ~j.contains("new york"), name, "ny") + _recency(F.try_to_date(F.substring(filed, 1, 10), "yyyy-MM-dd"))
 
 
-def score_co(name: Column, found: Column, status: Column, entity_type: Column, formed: Column) -> Column:
+def score_co(name: Column, found: Column, status: Column, entity_type: Column, formed: Column, similarity: Column | None = None) -> Column:
     """Colorado: ordered status tests, similarity to the name without status, foreign type, recency."""
     s = F.lower(blank(status))
     ended = s.contains("dissolved") | s.contains("withdrawn") | s.contains("expired") | s.contains("merged")
     base = F.when(s.contains("good standing"), 100.0).when(s.contains("compliant") | s.contains("active"), 80.0).when(s.contains("delinquent"), 0.0).when(s.contains("administratively"), -75.0).when(ended, -50.0).otherwise(50.0)
-    return base + name_similarity(name, strip_status(found)) * 100 + _outside(F.upper(blank(entity_type)).startswith("F"), name, "co") + _recency(F.try_to_date(F.substring(formed, 1, 10), "yyyy-MM-dd"))
+    return base + _similarity(name, strip_status(found), similarity) * 100 + _outside(F.upper(blank(entity_type)).startswith("F"), name, "co") + _recency(F.try_to_date(F.substring(formed, 1, 10), "yyyy-MM-dd"))
 
 
-def score_tx(name: Column, found: Column) -> Column:
+def score_tx(name: Column, found: Column, similarity: Column | None = None) -> Column:
     """Texas: every candidate is real; similarity decides."""
-    return 50.0 + name_similarity(name, found) * 100
+    return 50.0 + _similarity(name, found, similarity) * 100

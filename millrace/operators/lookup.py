@@ -11,15 +11,21 @@ from ..functions.similarity import jaccard, tokens
 
 def lookup_table(inputs: DataFrame) -> DataFrame:
     """norm, entity_name, query, rank: one row per normalised query; the first input, then its first query, wins."""
-    named = inputs.filter(F.trim(blank(F.col("entity_name"))) != "").select("ord", F.trim("entity_name").alias("entity_name"))
+    # Names repeat (a chain's owner at every place): each is simplified and normalised once.
+    named = inputs.filter(F.trim(blank(F.col("entity_name"))) != "").groupBy(F.trim("entity_name").alias("entity_name")).agg(F.min("ord").alias("ord"))
     queries = named.select("ord", "entity_name", F.posexplode(F.concat(F.array("entity_name"), name_variants(F.col("entity_name")))).alias("rank", "query"))
     queries = queries.withColumn("norm", normalize_for_similarity(F.col("query"))).filter("norm <> ''")
     return queries.groupBy("norm").agg(F.min_by(F.struct("entity_name", "query", "rank"), F.struct("ord", "rank")).alias("q")).select("norm", "q.*")
 
 
 def match_all(inputs: DataFrame, registry: DataFrame, name: Column) -> DataFrame:
-    """Registry records with the input they match: an equi-join on the normalised name; the small side is broadcast if adaptive execution finds it small."""
-    return registry.withColumn("norm", normalize_for_similarity(name)).filter("norm <> ''").join(lookup_table(inputs), "norm")
+    """Registry records with the input they match and ``name_similarity``: an equi-join on the normalised name; the small side is broadcast if adaptive execution finds it small.
+
+    Similarity depends on the input and the normalised name alone, so it is a column of the lookup table, not computed for every record.
+    """
+    look = lookup_table(inputs)
+    look = look.withColumn("name_similarity", jaccard(tokens(normalize_for_similarity(F.col("entity_name"))), tokens(F.col("norm"))))
+    return registry.withColumn("norm", normalize_for_similarity(name)).filter("norm <> ''").join(look, "norm")
 
 
 def best_with_alternates(candidates: DataFrame, key: str, score: str, order: str, alternate: dict[str, Column], n: int = 5) -> DataFrame:

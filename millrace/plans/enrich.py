@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import blank, strip_status
-from ..functions.similarity import name_similarity, score_ca, score_co, score_fl, score_ny, score_tx
+from ..functions.similarity import score_ca, score_co, score_fl, score_ny, score_tx
 from ..operators.derive import PREFIX, california, colorado, florida, new_york, shared_signals, texas, universal
 from ..operators.lookup import best_with_alternates, complete, match_all
 from ..session import cut
@@ -16,16 +16,16 @@ _c = F.col
 
 def _scored(state: str, m: DataFrame) -> tuple[Column, Column, Column, str]:
     """Score, name and number of a matched record, and the column that identifies it."""
-    name = _c("entity_name")
+    name, known = _c("entity_name"), _c("name_similarity")
     if state == "fl":
-        return score_fl(name, _c("name"), _c("status"), _c("filing_type")), _c("name"), _c("entity_number"), "entity_number"
+        return score_fl(name, _c("name"), _c("status"), _c("filing_type"), known), _c("name"), _c("entity_number"), "entity_number"
     if state == "ny":
-        return score_ny(name, _c("current_entity_name"), _c("jurisdiction"), _c("initial_dos_filing_date")), _c("current_entity_name"), _c("dos_id"), "dos_id"
+        return score_ny(name, _c("current_entity_name"), _c("jurisdiction"), _c("initial_dos_filing_date"), known), _c("current_entity_name"), _c("dos_id"), "dos_id"
     if state == "co":
-        return score_co(name, _c("entityname"), _c("entitystatus"), _c("entitytype"), _c("entityformdate")), strip_status(_c("entityname")), _c("entityid"), "entityid"
+        return score_co(name, _c("entityname"), _c("entitystatus"), _c("entitytype"), _c("entityformdate"), known), strip_status(_c("entityname")), _c("entityid"), "entityid"
     if state == "tx":
-        return score_tx(name, _c("name")), _c("name"), _c("taxpayer_number"), "taxpayer_number"
-    return score_ca(name, _c("first_result_name"), _c("status"), _c("entity_type"), _c("jurisdiction"), _c("formation_date")), _c("first_result_name"), _c("entity_number"), "entity_number"
+        return score_tx(name, _c("name"), known), _c("name"), _c("taxpayer_number"), "taxpayer_number"
+    return score_ca(name, _c("first_result_name"), _c("status"), _c("entity_type"), _c("jurisdiction"), _c("formation_date"), known), _c("first_result_name"), _c("entity_number"), "entity_number"
 
 
 #: The column of a state's records that holds the entity name.
@@ -39,7 +39,7 @@ def best_matches(inputs: DataFrame, registry: DataFrame, state: str) -> DataFram
     found = match_all(inputs, registry, name)
     score, label, number, order = _scored(state, found)
     # The match table is kept: ranking, counting and alternates all read it.
-    scored = found.withColumn("score", score).withColumn("name_similarity", name_similarity(_c("entity_name"), label)).withColumn("label_", label).withColumn("num_", number)
+    scored = found.withColumn("score", score).withColumn("label_", label).withColumn("num_", number)
     scored = cut(scored)
     alternate = {"name": _c("label_"), "num": _c("num_"), **({"status": _c("status")} if state in ("fl", "ca") else {}), "score": F.bround("score", 2)}
     return best_with_alternates(scored, "entity_name", "score", order, alternate).drop("label_", "num_", "norm", "rank")

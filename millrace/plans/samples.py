@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import spread
+
 STEMS = ("Acme", "Bluebird", "Cedar Point", "Dunmore", "Elkhorn", "Foxglove", "Granite", "Harbor", "Ironwood", "Juniper", "Kestrel", "Lakeside", "Maple", "Northern Oak", "Orchard", "Pioneer", "Quarry", "Redstone", "Summit", "Tamarack", "Upland", "Valley", "Willow")
 
 
@@ -79,12 +81,12 @@ def duck_table(name: str, columns: dict[str, str]) -> str:
 
 def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw location records."""
-    return spark_table(spark.read.parquet(f"{sf_dir}/customer.parquet"), LOCATIONS)
+    return spark_table(spread(spark.read.parquet(f"{sf_dir}/customer.parquet")), LOCATIONS)
 
 
 def registry_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bulk registry records, before they take a state's shape."""
-    return spark_table(spark.read.parquet(f"{sf_dir}/orders.parquet"), REGISTRY)
+    return spark_table(spread(spark.read.parquet(f"{sf_dir}/orders.parquet")), REGISTRY)
 
 
 LOC_SQL = duck_table("customer", LOCATIONS)

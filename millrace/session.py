@@ -40,3 +40,11 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the shared folder; it survives lost executors."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def spread(df: DataFrame, task_bytes: int = 1 << 18) -> DataFrame:
+    """A table too small for its files to fill the cores (under one scan task) is dealt over them; a larger one is left as it is read, unshuffled."""
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    tasks = min(df.sparkSession.sparkContext.defaultParallelism, size // task_bytes)
+    return df.repartition(tasks) if tasks > 1 and size < conf.filesMaxPartitionBytes() else df
