@@ -114,25 +114,40 @@ def spanning(posts: DataFrame, key: list[str], node: str, work: Callable, kind:
     lists = parts.groupBy(*key).agg(main.alias("m_"), F.sum("rows_").alias("rows_"), F.sum("weight_").alias("weight_")).filter("rows_ > m_.rows_")
     lists = lists.select(*key, F.col("m_.found_").alias("main_"), chunks(F.col("m_.rows_"), F.col("m_.weight_")).alias("mains_"), F.greatest(F.lit(1), chunks(F.col("rows_") - F.col("m_.rows_"), F.col("weight_") - F.col("m_.weight_"))).alias("others_"))
     dealt = rows.join(lists, key).withColumn("in_", F.col("found_") == F.col("main_"))
+    return met.unionAll(_beside_main(dealt, key, place, work, f"a {kind}, b {kind}", columns, most_bytes))
+
+
+def _beside_main(dealt: DataFrame, key: list[str], place: Column, work: Callable, schema: str, columns: list[str], most_bytes: int = 1 << 62) -> DataFrame:
+    """``work`` over the units in which rows outside a list's main component (``in_``) meet each other and the rows in it, in ``others_`` and ``mains_`` chunks."""
     dealt = dealt.withColumn("mine_", F.when(F.col("in_"), F.pmod(place, F.col("mains_"))).otherwise(F.col("mains_") + F.pmod(place, F.col("others_"))).cast("int"))
     other = F.explode(F.sequence(F.when(F.col("in_"), F.col("mains_")).otherwise(F.lit(0)), F.col("mains_") + F.col("others_") - 1))
     dealt = dealt.withColumn("other_", other).withColumn("i_", F.least("mine_", "other_")).withColumn("j_", F.greatest("mine_", "other_"))
     dealt = dealt.withColumn("unit_", F.xxhash64(*key, "i_", "j_"))
-    return met.unionAll(by_unit(dealt, work, f"a {kind}, b {kind}", columns, key, most_bytes))
+    return by_unit(dealt, work, schema, columns, key, most_bytes)
 
 
-def groups_of(group: np.ndarray) -> list[tuple[int, int]]:
-    """Start and end of each run."""
-    if not len(group):
-        return []
-    cuts = np.flatnonzero(group[1:] != group[:-1]) + 1
-    edges = [0, *cuts.tolist(), len(group)]
-    return list(zip(edges, edges[1:]))
-
+def beside_components(lists: DataFrame, found: DataFrame, rows: DataFrame, work: Callable, columns: list[str], block: int = BLOCK) -> DataFrame:
+    """a, b: links that connect, with the links ``found``, what all links of the lists (list, id) do; of rows (id, ...).
 
-def forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    """Edges (root, node) of a spanning star forest of the links among n local nodes."""
-    root = np.arange(n)
+    The rows of a list's main component are connected already. Rows outside it meet that component
+    once, not once a list: its members are dealt by component, so hot lists with the same rows cost
+    their rows once.
+    """
+    comps = cut(connected_components(found, "a", "b"))
+    placed = lists.join(comps, lists["id"] == comps["node"], "left").select("list", "id", F.coalesce("component", "id").alias("found_"))
+    main = placed.groupBy("list", "found_").agg(F.count("*").alias("n_")).groupBy("list").agg(F.max(F.struct("n_", "found_")).alias("m_"))
+    placed = placed.join(main.select("list", F.col("m_.found_").alias("key")), "list")
+    others = placed.filter("found_ <> key").select("key", "id").distinct()
+    # A main row without links is its own component.
+    members = comps.select(F.col("component").alias("key"), F.col("node").alias("id")).unionAll(placed.select("key", F.col("key").alias("id"))).distinct()
+    met = cut(others.withColumn("in_", F.lit(False)).unionAll(members.join(others.select("key").distinct(), "key", "left_semi").select("key", "id", F.lit(True))).join(rows, "id"))
+    chunks = lambda of: F.greatest(F.lit(1), F.ceil(F.count(F.when(of, 1)) / block)).cast("int")
+    sizes = met.groupBy("key").agg(chunks(F.col("in_")).alias("mains_"), chunks(~F.col("in_")).alias("others_"))
+    return _beside_main(met.join(sizes, "key"), ["key"], F.xxhash64("id"), work, "a long, b long", columns)
+
+
+def merged(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest node linked to each node, given that of earlier links and more links a, b; ``root`` is changed."""
     while len(a):
         ra, rb = root[a], root[b]
         differ = ra != rb
@@ -146,5 +161,20 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
             if (up == root).all():
                 break
             root = up
+    return root
+
+
+def groups_of(group: np.ndarray) -> list[tuple[int, int]]:
+    """Start and end of each run."""
+    if not len(group):
+        return []
+    cuts = np.flatnonzero(group[1:] != group[:-1]) + 1
+    edges = [0, *cuts.tolist(), len(group)]
+    return list(zip(edges, edges[1:]))
+
+
+def forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """Edges (root, node) of a spanning star forest of the links among n local nodes."""
+    root = merged(np.arange(n), a, b)
     nodes = np.flatnonzero(root != np.arange(n))
     return list(zip(root[nodes].tolist(), nodes.tolist()))

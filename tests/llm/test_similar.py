@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from millrace.llm import similar
 
@@ -156,3 +157,80 @@ def test_pairs_at_the_limit_meet():
         h = rng.integers(0, np.iinfo(np.uint64).max, 224, np.uint64)
         met += bool((similar.bands(np.sort(h[:202])) == similar.bands(np.sort(h[22:]))).any())
     assert met >= 0.98 * 500
+
+
+def flipped(rng, fp, bits):
+    x = np.unpackbits(fp)
+    x[rng.choice(len(x), bits, replace=False)] ^= 1
+    return np.packbits(x)
+
+
+def test_twelve_shared_bytes_always_meet():
+    rng = np.random.default_rng(6)
+    for pairs, shared in ((similar.FEW, 12), (len(similar.PAIRS), 5)):
+        for _ in range(300):
+            a = rng.integers(0, 256, 64, np.uint8)
+            b = a ^ rng.integers(1, 256, 64, np.uint8)
+            at = rng.choice(64, shared, replace=False)
+            b[at] = a[at]
+            assert (similar.lists_of(a[None, :], pairs) == similar.lists_of(b[None, :], pairs)).any()
+
+
+def test_candidates_come_from_shared_bytes_and_distance(spark):
+    # Equal other keys do not make a pair, different ones do not part one: rows 0 and 1 share bytes, rows 2 and 3 are as near but share two bytes only.
+    rng = np.random.default_rng(9)
+    a, c = (rng.integers(0, 256, 64, np.uint8) for _ in range(2))
+    apart = np.where(np.arange(64) < 62, 1, 0).astype(np.uint8)
+    rows = [(0, a, 0), (1, flipped(rng, a, 77), 1), (2, c, 2), (3, c ^ apart, 2)]
+    df = spark.createDataFrame([(k, bytearray(f.tobytes()), 200, [key] * 16) for k, f, key in rows], "id long, fp binary, n long, keys array<long>")
+    for most in (4096, 1):  # lists compared where they are sorted, and long ones
+        got = {(r["a"], r["b"]) for r in similar.candidates(df, similar.SIMILARITY - similar.MARGIN, most=most).collect()}
+        assert (0, 1) in {(min(x), max(x)) for x in got} and not [x for x in got if {2, 3} & set(x) and {0, 1} & set(x)]
+    sets = [np.arange(200, dtype=np.uint64)] * 2
+    every = np.arange(2)
+    assert similar.matching(sets, np.stack([a, rows[1][1]]).view(np.uint64), every, every) == [(0, 1)]
+    assert similar.matching(sets, np.stack([c, c ^ apart]).view(np.uint64), every, every) == []
+
+
+def test_pairs_at_the_limit_pass_every_step():
+    # Sets of a and b hashes that share c, a similarity of 0.8 or a little more: the smallest ones, the worst sizes, and larger ones.
+    rng = np.random.default_rng(12)
+    for a, b, c, least in ((4, 5, 4, 0.96), (5, 6, 5, 0.98), (13, 14, 12, 0.98), (22, 23, 20, 0.98), (90, 90, 80, 0.99), (400, 500, 400, 0.99)):
+        passed = 0
+        for _ in range(400):
+            h = rng.integers(0, np.iinfo(np.uint64).max, a + b - c, np.uint64)
+            sets = [np.sort(h[:a]), np.sort(h[a - c :])]
+            fp = np.stack([np.frombuffer(similar.fingerprint_of(x), np.uint8) for x in sets])
+            batch = pa.RecordBatch.from_arrays([pa.array([0, 1]), pa.array([f.tobytes() for f in fp], pa.binary()), pa.array([a, b])], ["id", "fp", "n"])
+            posts = pa.Table.from_batches(similar._postings([batch])).sort_by("key").combine_chunks().to_batches()
+            met = sum(len(x) for x in similar._meet(similar.SIMILARITY - similar.MARGIN)(posts))
+            passed += bool(met and similar.matching(sets, fp.view(np.uint64), np.arange(2), np.arange(2)))
+        assert passed >= least * 400, (a, b, passed)
+
+
+def test_lists_split_over_batches_lose_no_pair(monkeypatch):
+    rng = np.random.default_rng(13)
+    base = [rng.integers(0, 256, 64, np.uint8) for _ in range(30)]
+    fp = [flipped(rng, base[k % 30], int(rng.integers(0, 40))) for k in range(150)] + [flipped(rng, base[0], 5) for _ in range(60)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(fp))), pa.array([f.tobytes() for f in fp], pa.binary()), pa.array([100 + k % 3 for k in range(len(fp))])], ["id", "fp", "n"])
+    posts = pa.Table.from_batches(similar._postings([batch])).sort_by("key").combine_chunks()
+
+    def run(size, most):
+        out = [r for x in similar._meet(0.65, most)(posts.to_batches(max_chunksize=size)) for r in x.to_pylist()]
+        return plain_classes(len(fp), [(r["a"], r["b"]) for r in out if r["b"] is not None]), sorted((r["list"], r["a"]) for r in out if r["b"] is None)
+
+    whole, none = run(1 << 20, 512)
+    assert none == [] and len(whole) == 30
+    lists = run(1 << 20, 20)[1]
+    assert lists
+    monkeypatch.setattr(similar, "ROWS", 64)
+    assert run(16, 512) == (whole, []) and run(16, 20)[1] == lists
+
+
+def test_long_lists_meet_as_short_ones_do(spark):
+    rng = np.random.default_rng(14)
+    base = [rng.integers(0, 256, 64, np.uint8) for _ in range(12)]
+    fp = [flipped(rng, base[0 if k < 80 else k % 12], int(rng.integers(0, 50))) for k in range(140)]
+    df = spark.createDataFrame([(k, bytearray(f.tobytes()), 100) for k, f in enumerate(fp)], "id long, fp binary, n long")
+    classes = [plain_classes(len(fp), [(r["a"], r["b"]) for r in similar.candidates(df, 0.65, block=16, most=most, window=1).collect()]) for most in (4096, 8)]
+    assert classes[0] == classes[1] and len(classes[0]) == 12
