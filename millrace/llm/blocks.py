@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.components import connected_components
+from ..operators.components import connected_components, merged
 from ..session import cut
 
 #: Rows of one chunk of a list.
@@ -146,24 +146,6 @@ def beside_components(lists: DataFrame, found: DataFrame, rows: DataFrame, work:
     return _beside_main(met.join(sizes, "key"), ["key"], F.xxhash64("id"), work, "a long, b long", columns)
 
 
-def merged(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The smallest node linked to each node, given that of earlier links and more links a, b; ``root`` is changed."""
-    while len(a):
-        ra, rb = root[a], root[b]
-        differ = ra != rb
-        if not differ.any():
-            break
-        a, b, ra, rb = a[differ], b[differ], ra[differ], rb[differ]
-        low, high = np.minimum(ra, rb), np.maximum(ra, rb)
-        np.minimum.at(root, high, low)
-        while True:
-            up = root[root]
-            if (up == root).all():
-                break
-            root = up
-    return root
-
-
 def groups_of(group: np.ndarray) -> list[tuple[int, int]]:
     """Start and end of each run."""
     if not len(group):

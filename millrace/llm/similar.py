@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from ..session import cut
+from ..session import cut, release
 from .blocks import BLOCK, beside_components, forest, groups_of, merged, spanning
 from .common import row_hash, small_batches, text_bytes, whole
 
@@ -333,7 +333,8 @@ def keep_one(docs: DataFrame, least: float = SIMILARITY, width: int = SHINGLE) -
     """Rows of docs, one of each class of near-duplicates: that with the smallest doc_id, then checksum.
 
     Texts without any word are one class. Classes are found on slim rows; the texts are
-    shuffled once, against the winners' keys.
+    shuffled once, against the winners' keys. Postings, sets and texts are each the size of the
+    input or more; the shuffle files of each are dropped before the next.
     """
     key = lambda: F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("-"))).cast("binary"))
     small_batches(docs.sparkSession)
@@ -356,10 +357,14 @@ def keep_one(docs: DataFrame, least: float = SIMILARITY, width: int = SHINGLE) -
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("k").alias("k"))).alias("best")
     distinct = cut(prints.groupBy("sig", "n").agg(best, F.first("fp").alias("fp")).withColumn("id", F.xxhash64("sig", "n")))
     near = connected_components(candidates(distinct.filter("n > 0"), least - MARGIN), "a", "b")
+    release(docs.sparkSession)
     # Only texts with a candidate are read again for their sets.
     again = near.join(distinct, near["node"] == distinct["id"]).select("node", "component", "fp", F.col("best.k").alias("k_"))
     texts = docs.select(key().alias("k_"), "text").join(again, "k_").select("node", "component", "fp", "text").mapInArrow(sets_of, "node long, component long, fp binary, set binary")
-    comps = connected_components(links(cut(texts.dropDuplicates(["node"])), least), "a", "b")
+    sets = cut(texts.dropDuplicates(["node"]))
+    release(docs.sparkSession)
+    comps = connected_components(links(sets, least), "a", "b")
+    release(docs.sparkSession)
     classes = distinct.join(comps, distinct["id"] == comps["node"], "left").select(F.coalesce("component", distinct["id"]).alias("class"), "best")
     winners = classes.groupBy("class").agg(F.min("best").alias("best")).select(F.col("best.k").alias("k_"))
     # Repeated rows meet before the shuffle, so that many of them are no single task's.

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,6 +44,18 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def release(spark: SparkSession, pause: float = 0.3) -> None:
+    """Have Spark drop the shuffle files that a cut left without a reader.
+
+    Its cleaner learns of them when the driver collects garbage, which can be long after large
+    shuffles with few tasks. The latest shuffle goes only at a second collection, once the cleaner is done with the first.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(pause)
+
+
 def spread(df: DataFrame, task_bytes: int = 1 << 18) -> DataFrame:
     """A table too small for its files to fill the cores (under one scan task) is dealt over them; a larger one is left as it is read, unshuffled."""
     conf = df.sparkSession._jsparkSession.sessionState().conf()

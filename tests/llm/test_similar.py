@@ -1,6 +1,7 @@
 """The stage form of near-duplicate removal against exact shingle similarity."""
 
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -234,3 +235,27 @@ def test_long_lists_meet_as_short_ones_do(spark):
     df = spark.createDataFrame([(k, bytearray(f.tobytes()), 100) for k, f in enumerate(fp)], "id long, fp binary, n long")
     classes = [plain_classes(len(fp), [(r["a"], r["b"]) for r in similar.candidates(df, 0.65, block=16, most=most, window=1).collect()]) for most in (4096, 8)]
     assert classes[0] == classes[1] and len(classes[0]) == 12
+
+
+def test_postings_leave_the_disk_before_links(spark, monkeypatch):
+    rng = random.Random(15)
+    docs = spark.createDataFrame([(k, " ".join(f"w{rng.randrange(10**6)}" for _ in range(14))) for k in range(1500)], "doc_id long, text string")
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        files = manager.getAllFiles()
+        return {f.getName(): f.length() for f in (files.apply(k) for k in range(files.size())) if f.getName().startswith("shuffle_")}
+
+    before, most, left, links = shuffles(), 1500 * similar.FEW * 8, [], similar.links
+
+    def seen(*args):
+        for _ in range(20):  # the cleaner runs beside the driver
+            left.append(sum(n for name, n in shuffles().items() if name not in before))
+            if left[-1] < most / 2:
+                break
+            time.sleep(0.25)
+        return links(*args)
+
+    monkeypatch.setattr(similar, "links", seen)
+    assert similar.keep_one(docs).count() == 1500
+    assert left[-1] < most / 2, left

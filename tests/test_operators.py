@@ -48,6 +48,38 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "src long, dst long")).count() == 0
 
 
+def test_components_in_one_task_and_in_rounds(spark):
+    rng = random.Random(3)
+    edges = [(rng.randint(-300, 300), rng.randint(-300, 300)) for _ in range(250)] + [(i + 1, i) for i in range(1000, 1060)] + [(7, 7), (1, None)]
+    for kind, value in (("bigint", int), ("int", int), ("string", str)):
+        df = spark.createDataFrame([(value(a), b if b is None else value(b)) for a, b in edges], f"src {kind}, dst {kind}").repartition(5)
+        got = [connected_components(df, one_task=most) for most in (1 << 18, 0)]
+        assert got[0].dtypes == got[1].dtypes == [("node", kind), ("component", kind)]
+        rows = [sorted(map(tuple, x.collect())) for x in got]
+        assert rows[0] == rows[1] and len({r[0] for r in rows[0]}) == len(rows[0])
+
+
+def test_components_of_few_edges_are_few_tasks(spark):
+    # A chain of shuffled numbers takes several rounds; each was eight shuffles over all partitions.
+    nodes = random.Random(6).sample(range(5000), 500)
+    df = spark.createDataFrame(list(zip(nodes, nodes[1:])), "src long, dst long")
+    conf, sc = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}, spark.sparkContext
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        sc.setJobGroup("few edges", "few edges")
+        got = connected_components(df).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup("few edges") for s in tracker.getJobInfo(j).stageIds}
+    assert len(got) == 500 and {r["component"] for r in got} == {min(nodes)}
+    assert 0 < sum(tracker.getStageInfo(s).numTasks for s in stages) < 300
+
+
 def test_resolution_and_rollup(raw):
     exact = {r["ord"]: r["comp"] for r in resolution.resolve(raw, auto=False).collect()}
     assert exact == {1: 1, 2: 1, 3: 3, 4: 3, 5: 5, 6: 6}
