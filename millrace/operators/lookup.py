@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.internal import InternalFunction
 
 from ..functions.names import blank, name_variants, normalize_for_similarity
 from ..functions.similarity import jaccard, tokens
@@ -18,30 +19,59 @@ def lookup_table(inputs: DataFrame) -> DataFrame:
     return queries.groupBy("norm").agg(F.min_by(F.struct("entity_name", "query", "rank"), F.struct("ord", "rank")).alias("q")).select("norm", "q.*")
 
 
-def match_all(inputs: DataFrame, registry: DataFrame, name: Column) -> DataFrame:
-    """Registry records with the input they match and ``name_similarity``: an equi-join on the normalised name; the small side is broadcast if adaptive execution finds it small.
+def similar_names(inputs: DataFrame) -> DataFrame:
+    """The lookup table with ``name_similarity``, which depends on the input and the normalised name alone, so it is not computed for every record."""
+    return lookup_table(inputs).withColumn("name_similarity", jaccard(tokens(normalize_for_similarity(F.col("entity_name"))), tokens(F.col("norm"))))
 
-    Similarity depends on the input and the normalised name alone, so it is a column of the lookup table, not computed for every record.
-    """
-    look = lookup_table(inputs)
-    look = look.withColumn("name_similarity", jaccard(tokens(normalize_for_similarity(F.col("entity_name"))), tokens(F.col("norm"))))
+
+def match(look: DataFrame, registry: DataFrame, name: Column) -> DataFrame:
+    """Registry records with the input they match: an equi-join on the normalised name."""
     return registry.withColumn("norm", normalize_for_similarity(name)).filter("norm <> ''").join(look, "norm")
 
 
-def best_with_alternates(candidates: DataFrame, key: str, score: str, order: str, alternate: dict[str, Column], n: int = 5) -> DataFrame:
-    """The best row of each key by score, then order, with ``match_count`` and ``alternates`` (the next n as an array of structs).
+def match_all(inputs: DataFrame, registry: DataFrame, name: Column) -> DataFrame:
+    """Registry records with the input they match and ``name_similarity``; the small side is broadcast if adaptive execution finds it small."""
+    return match(similar_names(inputs), registry, name)
+
+
+def top(c: Column, n: int) -> Column:
+    """The n least values of a group, in order. A group holds n values, never its rows, and nothing is sorted by key beforehand while a task sees few groups."""
+    return InternalFunction.collect_top_k(c, n, True)
+
+
+def _place(score: str, order: str, *more: Column) -> Column:
+    """A struct that sorts by score, best first and null last, then order."""
+    return F.struct(F.col(score).isNull().alias("none"), (-F.col(score)).alias("down"), F.col(order).alias("at"), *more)
+
+
+def best_and_alternates(candidates: DataFrame, key: str, score: str, order: str, alternate: dict[str, Column], n: int = 5) -> DataFrame:
+    """key, ``order`` of its best row by score, then order, ``match_count`` and ``alternates`` (the next n as an array of structs), from one pass that keeps n + 1 short structs of a key."""
+    each = _place(score, order, F.struct(*(c.alias(k) for k, c in alternate.items())).alias("alt"))
+    got = candidates.groupBy(key).agg(top(each, n + 1).alias("top_"), F.count("*").alias("match_count"))
+    rest = F.transform(F.slice("top_", 2, n), lambda s: s["alt"])
+    return got.select(key, F.col("top_")[0]["at"].alias(order), "match_count", F.when(F.size("top_") > 1, rest).alias("alternates"))
+
+
+def best_rows(candidates: DataFrame, key: str, score: str, order: str) -> DataFrame:
+    """The whole best row of each key by score, then order; equal ones by their other columns."""
+    body = F.struct(*(c for c in candidates.columns if c != key)).alias("row")
+    return candidates.groupBy(key).agg(top(_place(score, order, body), 1)[0]["row"].alias("best_")).select(key, "best_.*")
+
+
+def sieve(column: Column, values: DataFrame, bits: int = 1 << 17) -> Column:
+    """Holds for every row whose value is among those of a one-column table, and by chance for n in ``bits`` of the others.
 
-    The rank filter keeps n + 1 rows of a key before the shuffle and the count is summed before it, so a key with
-    very many candidates is no single task's; best and alternates are gathered together.
+    It goes before the exact semi-join: Spark moves a filter, not a join, below columns that are costly to build.
     """
-    w = Window.partitionBy(key).orderBy(F.col(score).desc(), order)
-    ranked = candidates.withColumn("rn_", F.row_number().over(w)).filter(F.col("rn_") <= n + 1)
-    counts = candidates.groupBy(key).agg(F.count("*").alias("match_count"))
-    body = [c for c in ranked.columns if c not in (key, "rn_")]
-    each = F.struct("rn_", F.struct(*(c.alias(k) for k, c in alternate.items())).alias("alt"))
-    rest = F.transform(F.array_sort(F.collect_list(F.when(F.col("rn_") > 1, each))), lambda s: s["alt"])
-    got = ranked.groupBy(key).agg(F.min_by(F.struct(*body), "rn_").alias("best_"), rest.alias("alternates"))
-    return got.join(counts, key).select(key, "best_.*", "match_count", F.when(F.size("alternates") > 0, F.col("alternates")).alias("alternates"))
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(bits)).cast("int")
+    at = values.select(slot(values[values.columns[0]]).alias("slot"))
+    rows = at.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, slot & 63)")).alias("set")).collect()
+    words = [0] * (bits // 64)
+    for r in rows:
+        words[r["word"]] = r["set"]
+    table = F.split(F.lit(",".join(map(str, words))), ",").cast("array<bigint>")
+    mine = slot(column)
+    return F.getbit(F.get(table, F.shiftright(mine, 6)), mine.bitwiseAND(F.lit(63))) == 1
 
 
 def complete(inputs: DataFrame, best: DataFrame, key: str = "entity_name") -> DataFrame:

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.names import blank, strip_status
 from ..functions.similarity import score_ca, score_co, score_fl, score_ny, score_tx
 from ..operators.derive import PREFIX, california, colorado, florida, new_york, shared_signals, texas, universal
-from ..operators.lookup import best_with_alternates, complete, match_all
-from ..session import cut
+from ..operators.lookup import best_and_alternates, best_rows, complete, match, sieve, similar_names
+from ..session import cut, many_groups, measured
 
 _c = F.col
 
@@ -34,15 +34,28 @@ BUILD = {"fl": florida, "ny": new_york, "co": colorado, "tx": texas, "ca": calif
 
 
 def best_matches(inputs: DataFrame, registry: DataFrame, state: str) -> DataFrame:
-    """One row per matched input: the best record, its score and similarity, and five alternates."""
+    """One row per matched input: the best record, its score and similarity, and five alternates.
+
+    A first pass of the registry counts and ranks short columns only; a second reads whole the records that are some
+    input's best, so no wide row is kept, sorted or parsed that is not in the result.
+    """
     name = strip_status(_c(NAME[state])) if state == "co" else _c(NAME[state])
-    found = match_all(inputs, registry, name)
-    score, label, number, order = _scored(state, found)
-    # The match table is kept: ranking, counting and alternates all read it.
-    scored = found.withColumn("score", score).withColumn("label_", label).withColumn("num_", number)
-    scored = cut(scored)
-    alternate = {"name": _c("label_"), "num": _c("num_"), **({"status": _c("status")} if state in ("fl", "ca") else {}), "score": F.bround("score", 2)}
-    return best_with_alternates(scored, "entity_name", "score", order, alternate).drop("label_", "num_", "norm", "rank")
+    look = measured(similar_names(inputs))
+
+    def scored(records: DataFrame) -> tuple[DataFrame, Column, Column, str]:
+        found = match(look, records, name)
+        score, label, number, order = _scored(state, found)
+        return found.withColumn("score", score), label, number, order
+
+    found, label, number, order = scored(registry)
+    alternate = {"name": label, "num": number, **({"status": _c("status")} if state in ("fl", "ca") else {}), "score": F.bround("score", 2)}
+    with many_groups(registry.sparkSession):
+        ranked = cut(best_and_alternates(found, "entity_name", "score", order, alternate))
+    ids = measured(ranked.select(order).distinct())
+    # Records that share a best one's identifier come along; ranking them again leaves the best.
+    same = registry.filter(sieve(registry[order], ids)).join(ids, registry[order].eqNullSafe(ids[order]), "left_semi")
+    best = best_rows(scored(same)[0], "entity_name", "score", order)
+    return best.join(ranked.drop(order), "entity_name").drop("norm", "rank")
 
 
 def enrich(inputs: DataFrame, registry: DataFrame, state: str, prefixed: bool = True, fetched_at: Column | str = "") -> DataFrame:

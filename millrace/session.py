@@ -6,8 +6,11 @@ import gc
 import os
 import tempfile
 import time
+from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build(app: str = "millrace", cores: int | str = 8, shuffle: int = 8, driver_memory: str = "12g") -> SparkSession:
@@ -44,6 +47,30 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def measured(df: DataFrame) -> DataFrame:
+    """A table that is joined to a larger one: cut, and marked for broadcast if its measured size is within the session's threshold.
+
+    Estimates start from the files and miss a grouped table's size; a wrong one would shuffle the whole larger side.
+    """
+    df = cut(df)
+    text = [F.coalesce(F.octet_length(c), F.lit(0)) for c, t in df.dtypes if t == "string"]
+    size = df.agg(F.sum(reduce(lambda a, b: a + b, text, F.lit(16 + 16 * len(df.columns))).cast("long"))).first()[0] or 0
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return F.broadcast(df) if size <= limit else df
+
+
+@contextmanager
+def many_groups(spark: SparkSession, groups: int = 1 << 14):
+    """While it lasts, a task that keeps objects by key holds so many keys before Spark has it sort its rows (128 by default)."""
+    key = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(groups))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def release(spark: SparkSession, pause: float = 0.3) -> None:
     """Have Spark drop the shuffle files that a cut left without a reader.
 
