@@ -170,17 +170,17 @@ def california(df: DataFrame) -> DataFrame:
     return out.withColumns({"agent_address_matches_principal": true_false(F.col("match_")), "likely_owner_name": owner, "operator_pattern": pattern}).drop("match_", "person_")
 
 
-def _times(df: DataFrame, key: str) -> DataFrame:
+def _times(df: DataFrame, key: str, weight: str | None) -> DataFrame:
     """How often each non-blank key occurs: counted by key, then joined, so a frequent key is no single task."""
-    return df.filter(F.col(key) != "").groupBy(key).agg(F.count("*").alias(key + "n"))
+    return df.filter(F.col(key) != "").groupBy(key).agg((F.sum(weight) if weight else F.count("*")).alias(key + "n"))
 
 
-def shared_signals(df: DataFrame, style: str = "flag") -> DataFrame:
-    """Add multi_entity_operator from addresses and owners (or, in style "ca", individual agents) that several rows share."""
+def shared_signals(df: DataFrame, style: str = "flag", weight: str | None = None) -> DataFrame:
+    """Add multi_entity_operator from addresses and owners (or, in style "ca", individual agents) that several rows share; a row counts ``weight`` times."""
     agent = F.lower(F.trim(blank(F.col("agent_name"))))
     who = F.when(F.lower(blank(F.col("agent_is_individual"))) == "true", agent).otherwise("") if style == "ca" else F.lower(F.trim(blank(F.col("likely_owner_name"))))
     keyed = df.withColumn("pa_", normalize_address(F.col("principal_address"))).withColumn("who_", who)
-    out = keyed.join(_times(keyed, "pa_"), "pa_", "left").join(_times(keyed, "who_"), "who_", "left")
+    out = keyed.join(_times(keyed, "pa_", weight), "pa_", "left").join(_times(keyed, "who_", weight), "who_", "left")
     many_pa, many_who = F.coalesce(F.col("pa_n") > 1, F.lit(False)), F.coalesce(F.col("who_n") > 1, F.lit(False))
     if style == "ca":
         flag = F.concat_ws("; ", F.when(many_pa, F.concat(F.lit("shared_principal_address:"), "pa_n")), F.when(many_who, F.concat(F.lit("shared_agent:"), "who_n")))

@@ -8,6 +8,7 @@ from pyspark.sql.internal import InternalFunction
 
 from ..functions.names import blank, name_variants, normalize_for_similarity
 from ..functions.similarity import jaccard, tokens
+from ..session import once
 
 
 def lookup_table(inputs: DataFrame) -> DataFrame:
@@ -26,7 +27,7 @@ def similar_names(inputs: DataFrame) -> DataFrame:
 
 def match(look: DataFrame, registry: DataFrame, name: Column) -> DataFrame:
     """Registry records with the input they match: an equi-join on the normalised name."""
-    return registry.withColumn("norm", normalize_for_similarity(name)).filter("norm <> ''").join(look, "norm")
+    return registry.withColumn("norm", once(normalize_for_similarity(name))).filter("norm <> ''").join(look, "norm")
 
 
 def match_all(inputs: DataFrame, registry: DataFrame, name: Column) -> DataFrame:

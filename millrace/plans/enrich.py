@@ -61,16 +61,21 @@ def best_matches(inputs: DataFrame, registry: DataFrame, state: str) -> DataFram
 def enrich(inputs: DataFrame, registry: DataFrame, state: str, prefixed: bool = True, fetched_at: Column | str = "") -> DataFrame:
     """inputs (ord, entity_name, optionally entity_type) with the universal columns; persons in Texas are not looked up.
 
+    Everything is derived once a name, shared signals count the name's inputs, and the finished columns are joined to the inputs.
     ``fetched_at`` marks when: a fixed text, or utc_now() for the query's own time.
     """
+    inputs = inputs.select("ord", "entity_name")
+    names = inputs.groupBy("entity_name").agg(F.count("*").alias("inputs_"))
     best = BUILD[state](best_matches(inputs, registry, state))
-    rows = shared_signals(cut(complete(inputs.select("ord", "entity_name"), best)), "ca" if state == "ca" else "flag")
-    rows = rows.withColumn("alternates", F.coalesce(F.to_json("alternates"), F.lit(""))).withColumn("query_attempts", _c("query_used"))
-    rows = rows.withColumn("fetched_at", F.lit(fetched_at) if isinstance(fetched_at, str) else fetched_at)
-    if not prefixed:
-        return rows
-    out = universal(rows, state)
-    return out.select("ord", "entity_name", *(n for n in out.columns if n.startswith(PREFIX[state])))
+    rows = shared_signals(cut(complete(names, best)), "ca" if state == "ca" else "flag", "inputs_").drop("inputs_")
+    rows = rows.withColumn("alternates", F.coalesce(F.to_json("alternates"), F.lit(""))).withColumn("query_attempts", _c("query_used")).withColumn("fetched_at", F.lit(""))
+    at = "fetched_at"
+    if prefixed:
+        out, at = universal(rows, state), PREFIX[state] + at
+        rows = out.select("entity_name", *(n for n in out.columns if n.startswith(PREFIX[state])))
+    done = measured(rows.withColumnRenamed("entity_name", "asked_"))
+    out = inputs.join(done, inputs["entity_name"].eqNullSafe(done["asked_"]), "left").drop("asked_")
+    return out.withColumn(at, (F.lit(fetched_at) if isinstance(fetched_at, str) else fetched_at).cast("string"))
 
 
 def utc_now() -> Column:

@@ -9,7 +9,7 @@ from ..functions import json as J
 from ..functions import names as N
 from ..functions import similarity as S
 from ..operators import derive, filings, lookup, ordered, resolution, rollup
-from ..session import cut
+from ..session import once
 from ..sources import captured, readers, sinks
 from . import directory, enrich
 from . import duck as D
@@ -469,8 +469,7 @@ def fixed_width_lines(r: DataFrame) -> DataFrame:
     kind = F.when(c("officer").contains("LLC"), "C").otherwise("P")
     parts = [f(x, n) for x, n in [*head, *slot(c("title"), kind, c("officer")), *slot("P", "P", c("last"))]]
     line = F.rpad(F.concat(*parts), 1440, " ")
-    # Landed once, as files of such lines would be; otherwise every field would build the whole line again.
-    return cut(r.select("rid", F.when(c("rid") % 41 == 0, F.substring(line, 1, 1200)).otherwise(line).alias("value")))
+    return r.select("rid", once(F.when(c("rid") % 41 == 0, F.substring(line, 1, 1200)).otherwise(line)).alias("value"))
 
 
 _OFF = "CASE WHEN officer <> '' AND officer NOT LIKE '%LLC%' THEN CASE WHEN last <> '' AND title <> 'P' THEN last ELSE officer END ELSE last END"

@@ -9,7 +9,7 @@ import time
 from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -47,6 +47,11 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def once(value: Column) -> Column:
+    """The value, built once a row: behind a condition that always holds but counts as nondeterministic, so Spark neither copies the expression to each use nor moves filters on it below a shuffle."""
+    return F.when(F.monotonically_increasing_id() >= 0, value)
+
+
 def measured(df: DataFrame) -> DataFrame:
     """A table that is joined to a larger one: cut, and marked for broadcast if its measured size is within the session's threshold.
 

@@ -82,3 +82,27 @@ def test_hot_name_takes_no_sort(spark):
     rows = spark.range(100).select(F.lit("a").alias("k"), F.col("id").cast("double").alias("s"), F.col("id").cast("string").alias("n"))
     plan = lookup.best_and_alternates(rows, "k", "s", "n", {"num": F.col("n")})._jdf.queryExecution().sparkPlan().toString()
     assert "Sort" not in plan and "Window" not in plan
+
+
+def test_names_share_what_is_derived(spark):
+    """Rows of the same name are told apart by ord only; unmatched and missing names stay; signals count inputs."""
+    rows = registry(spark, 60).withColumn("principaladdress1", F.concat("entityid", F.lit(" Main Street")))
+    got = {r["ord"]: r.asDict() for r in enrich.enrich(inputs(spark), rows, "co", fetched_at="now").collect()}
+    assert sorted(got) == [1, 2, 3, 4, 5]
+    assert {**got[1], "ord": 3} == got[3] and got[1]["co_match_count"] == "20"
+    assert (got[4]["co_match_count"], got[4]["co_query_used"], got[4]["co_entity_number"], got[4]["co_multi_entity_operator"]) == ("0", "Nobody At All", None, "")
+    assert (got[5]["co_match_count"], got[5]["co_query_used"], got[5]["entity_name"]) == ("0", None, None)
+    assert [got[k]["co_multi_entity_operator"] for k in (1, 2, 3)] == ["True", "False", "True"]
+    assert {r["co_fetched_at"] for r in got.values()} == {"now"}
+
+
+def test_lines_are_not_kept(spark, tmp_path):
+    """The Florida enrichment keeps names, not the registry's lines: four times the records add little."""
+    from millrace.plans.queries import QUERIES
+
+    sizes = []
+    for n in (500, 2000):
+        spark.range(0, n, 1, 2).select(F.col("id").alias("o_orderkey")).write.parquet(f"{tmp_path}/{n}/orders.parquet")
+        spark.range(0, 400, 1, 2).select(F.col("id").alias("c_custkey")).write.parquet(f"{tmp_path}/{n}/customer.parquet")
+        sizes.append(written(spark, lambda n=n: QUERIES["j_enriched_florida"](spark, f"{tmp_path}/{n}").collect()))
+    assert sizes[1] < 2 * sizes[0]
